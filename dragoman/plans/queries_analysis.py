@@ -304,11 +304,11 @@ def b3(spark, sf_dir):
     return planning.plan_slots(allocated(spark, sf_dir))
 
 
-@query("b4_rate_plan", with_views(
+@query("b4_rate_plan", 
     "SELECT model, request_no, round((rk - 1) * gap, 3) AS send_at_s FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY request_no) AS rk FROM ("
     "SELECT event_id AS request_no, m.model, m.gap FROM events JOIN (SELECT * FROM (VALUES "
     + ", ".join(f"({i}, {lit(m[1])}, {m[4]!r}::DOUBLE)" for i, m in enumerate(dims.MODELS))
-    + ") AS v(n, model, gap)) m ON n = event_id % 15)) WHERE (rk - 1) * gap < 600"))
+    + ") AS v(n, model, gap)) m ON n = event_id % 15)) WHERE (rk - 1) * gap < 600")
 def b4(spark, sf_dir):
     names = F.array(*[F.lit(m[1]) for m in dims.MODELS])
     requests = views.table(spark, sf_dir, "events").select(
@@ -393,14 +393,13 @@ def n1_round(spark, sf_dir):
 
 @query("n1_bpe_train")
 def n1(spark, sf_dir):
-    return tokens.bpe_train(documents(spark, sf_dir), merges=16)[1]
+    return tokens.bpe_train(documents(spark, sf_dir), merges=24)[1]
 
 
 @query("n2_bpe_encode")
 def n2(spark, sf_dir):
-    merges, vocabulary = tokens.bpe_train(documents(spark, sf_dir), merges=8)
-    known = {r["token"]: r["token_id"] for r in vocabulary.collect()}  # at most the vocabulary size
-    return tokens.bpe_encode(documents(spark, sf_dir), merges, known).select(
+    merges, vocabulary = tokens.bpe_train(documents(spark, sf_dir), merges=12)
+    return tokens.bpe_encode(documents(spark, sf_dir), merges, tokens.vocabulary_map(vocabulary)).select(
         "doc_id", F.size("ids").alias("n_ids"), F.slice("ids", 1, 126).alias("ids"))
 
 
