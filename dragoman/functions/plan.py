@@ -1,9 +1,11 @@
-"""Plan shaping."""
+"""Plan shaping: evaluate once, spread small inputs, cut lineage through a written table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dragoman.session import shared_folder
+
 
 def bind_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] = ()) -> DataFrame:
     """Add computed columns that are evaluated exactly once per row.
@@ -17,3 +19,25 @@ def bind_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] =
     packed = F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))
     once = df.select(*kept, F.explode(packed).alias("_once"))
     return once.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in columns])
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy row work every core when a scan has fewer splits than there are cores.
+
+    A large table has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
+def through_table(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For results used more than once: they are computed once, and a lost executor rereads
+    files instead of replaying the lineage.
+    """
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

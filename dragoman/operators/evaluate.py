@@ -51,11 +51,15 @@ def benchmark_overall(judged: DataFrame) -> DataFrame:
 
 
 def benchmark_by_category(judged: DataFrame) -> DataFrame:
-    """One row per category; regex accuracy null when nothing matched, coverage as ``a/b``.
+    return categories_of(benchmark(judged))
+
+
+def categories_of(figures: DataFrame) -> DataFrame:
+    """From ``benchmark`` rows one row per category; regex accuracy null when nothing matched, coverage as ``a/b``.
 
     ``b`` is the main model's answered rows, as published; ``size`` is the true size.
     """
-    rows = benchmark(judged).filter(F.col("category").isNotNull())
+    rows = figures.filter(F.col("category").isNotNull())
 
     def of(classifier, column):
         return F.max(F.when(F.col("classifier") == classifier, F.col(column)))
@@ -68,16 +72,16 @@ def benchmark_by_category(judged: DataFrame) -> DataFrame:
         of("main", "total").alias("size"))
 
 
-def benchmark_summary(judged: DataFrame) -> DataFrame:
-    """The overall figures in one row."""
-    rows = benchmark_overall(judged)
+def summary_of(figures: DataFrame) -> DataFrame:
+    """From ``benchmark`` rows the overall figures in one row."""
+    rows = figures.filter(F.col("category").isNull())
     cells = [F.max(F.when(F.col("classifier") == c, F.col(m))).alias(f"{c}_{m}")
              for c in ("main", "regex", "llm") for m in ("correct", "counted", "total", "accuracy", "coverage_pct", "avg_latency_ms")]
     return rows.agg(*cells)
 
 
 def speedup(judged: DataFrame, floor_ms: float = 0.1) -> DataFrame:
-    s = benchmark_summary(judged)
+    s = summary_of(benchmark(judged))
     return s.select(F.round(F.col("llm_avg_latency_ms") / F.greatest("main_avg_latency_ms", F.lit(floor_ms)), 4).alias("speedup"))
 
 

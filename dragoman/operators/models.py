@@ -49,6 +49,7 @@ def train_two_head(examples: DataFrame, word_features: int = 1 << 14, char_featu
     L-BFGS over partitioned data; the gradient is tree-aggregated and its size depends on
     features x classes only. The feature table is persisted over the iterations.
     """
+    examples = examples.select("text", "intent_label", "resource_label").persist()
     features = Pipeline(stages=feature_stages(word_features, char_features)).fit(examples)
     table = features.transform(balance(balance(examples, "intent_label", "_w_intent"), "resource_label", "_w_resource"))
     table = table.select("features", "intent_label", "resource_label", "_w_intent", "_w_resource").persist()
@@ -59,6 +60,7 @@ def train_two_head(examples: DataFrame, word_features: int = 1 << 14, char_featu
         for head in ("intent", "resource")
     ]
     table.unpersist()
+    examples.unpersist()
     return TwoHeadModel(features, *heads)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from dragoman import dims
 from dragoman.functions import arrays
-from dragoman.functions.text import hash_bucket
+from dragoman.functions.plan import through_table
 from dragoman.operators import evaluate, language, models, planning, progress, refine, scoring, tokens
 from dragoman.plans import views
 from dragoman.plans.queries_refine import COUNTS, counts, filtered, loaded, verified, with_flush
@@ -131,9 +131,9 @@ def a7(spark, sf_dir):
     "'by_category': (SELECT list({'category': category, 'main_accuracy': main_accuracy, 'regex_accuracy': regex_accuracy, 'regex_coverage': regex_coverage, "
     f"'llm_accuracy': llm_accuracy, 'size': size}} ORDER BY category) FROM ({_BY_CATEGORY}))}})::VARCHAR AS report", "judged"))
 def s7(spark, sf_dir):
-    rows = judged(spark, sf_dir)
-    overall = evaluate.benchmark_summary(rows).select("main_accuracy", "regex_accuracy", "regex_coverage_pct", "llm_accuracy")
-    return sinks.benchmark_report(overall, evaluate.benchmark_by_category(rows), "2024-02-01T00:00:00Z")
+    figures = through_table(evaluate.benchmark(judged(spark, sf_dir)), "benchmark")
+    overall = evaluate.summary_of(figures).select("main_accuracy", "regex_accuracy", "regex_coverage_pct", "llm_accuracy")
+    return sinks.benchmark_report(overall, evaluate.categories_of(figures), "2024-02-01T00:00:00Z")
 
 
 @query("a14_speedup", with_views(
@@ -266,18 +266,21 @@ _SAMPLED = (
 
 
 def eligible(spark, sf_dir):
-    return counts(spark, sf_dir).filter(F.col("existing") < F.col("target")).select("class_id", "label")
+    """Incomplete classes, as a small table: several steps of a plan look at it."""
+    open_classes = counts(spark, sf_dir).filter(F.col("existing") < F.col("target")).select("class_id", "label")
+    return through_table(open_classes, "eligible")
 
 
-def sampled(spark, sf_dir):
+def sampled(spark, sf_dir, open_classes):
     requests = views.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("request_id")).distinct()
     labels = dims.dim_intent(spark).select("class_id", "label")
-    return planning.sample_k_classes(requests, eligible(spark, sf_dir)).join(F.broadcast(labels), "class_id")
+    return planning.sample_k_classes(requests, open_classes).join(F.broadcast(labels), "class_id")
 
 
 def allocated(spark, sf_dir):
-    n = F.least(F.lit(dims.MIXED_CLASSES), eligible(spark, sf_dir).agg(F.count(F.lit(1))).scalar())
-    return planning.allocate_mixed(sampled(spark, sf_dir), n_classes=n)
+    open_classes = eligible(spark, sf_dir)
+    n = F.least(F.lit(dims.MIXED_CLASSES), open_classes.agg(F.count(F.lit(1))).scalar())
+    return planning.allocate_mixed(sampled(spark, sf_dir, open_classes), n_classes=n)
 
 
 _ALLOCATED = (
@@ -289,7 +292,7 @@ _SLOTS = (
 
 @query("t4_sample_k_classes", with_views(f"SELECT request_id, place::INT AS place, class_id FROM ({_SAMPLED})", "filtered"))
 def t4(spark, sf_dir):
-    return sampled(spark, sf_dir).select("request_id", "place", "class_id")
+    return sampled(spark, sf_dir, eligible(spark, sf_dir)).select("request_id", "place", "class_id")
 
 
 @query("b2_allocate_mixed", with_views(
@@ -374,32 +377,28 @@ def p17_mixed(spark, sf_dir):
 _WORDS = "SELECT w AS word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\r\\x0b\\x0c]+')) AS w FROM documents) GROUP BY 1"
 
 
-def documents(spark, sf_dir):
-    return views.table(spark, sf_dir, "documents")
-
-
 @query("a15_word_counts", f"SELECT * FROM ({_WORDS}) WHERE n >= 2")
 def a15(spark, sf_dir):
-    return tokens.word_counts(documents(spark, sf_dir))
+    return tokens.word_counts(views.documents(spark, sf_dir))
 
 
 @query("n1_pair_counts",
        f"SELECT left_, right_, sum(n)::BIGINT AS freq FROM (SELECT n, substr(word, i::INT, 1) AS left_, substr(word, i::INT + 1, 1) AS right_ FROM ({_WORDS}), "
        "unnest(range(1, length(word))) AS u(i)) GROUP BY 1, 2")
 def n1_round(spark, sf_dir):
-    words = tokens.word_counts(documents(spark, sf_dir), min_count=1).select(F.split("word", "").alias("symbols"), "n")
+    words = tokens.word_counts(views.documents(spark, sf_dir), min_count=1).select(F.split("word", "").alias("symbols"), "n")
     return tokens.pair_counts(words).select(F.col("left").alias("left_"), F.col("right").alias("right_"), "freq")
 
 
 @query("n1_bpe_train")
 def n1(spark, sf_dir):
-    return tokens.bpe_train(documents(spark, sf_dir), merges=24)[1]
+    return tokens.bpe_train(views.documents(spark, sf_dir), merges=24)[1]
 
 
 @query("n2_bpe_encode")
 def n2(spark, sf_dir):
-    merges, vocabulary = tokens.bpe_train(documents(spark, sf_dir), merges=12)
-    return tokens.bpe_encode(documents(spark, sf_dir), merges, tokens.vocabulary_map(vocabulary)).select(
+    merges, vocabulary = tokens.bpe_train(views.documents(spark, sf_dir), merges=12)
+    return tokens.bpe_encode(views.documents(spark, sf_dir), merges, tokens.vocabulary_map(vocabulary)).select(
         "doc_id", F.size("ids").alias("n_ids"), F.slice("ids", 1, 126).alias("ids"))
 
 
@@ -410,15 +409,15 @@ def n2(spark, sf_dir):
        "SELECT doc_id, array_to_string([2] || coalesce(ids, []) || [3] || list_transform(range(126 - coalesce(len(ids), 0)), lambda x: 0), ',') AS input_ids, (coalesce(len(ids), 0) + 2)::INT AS used "
        "FROM documents LEFT JOIN e USING (doc_id)")
 def n3(spark, sf_dir):
-    vocabulary = tokens.word_vocabulary(tokens.word_counts(documents(spark, sf_dir)))
-    encoded = tokens.encode_words(documents(spark, sf_dir), vocabulary, "doc_id")
+    vocabulary = tokens.word_vocabulary(tokens.word_counts(views.documents(spark, sf_dir)))
+    encoded = tokens.encode_words(views.documents(spark, sf_dir), vocabulary, "doc_id")
     return encoded.select("doc_id", F.array_join("input_ids", ",").alias("input_ids"),
                           F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("used"))
 
 
 # --- language ------------------------------------------------------------------------------------------
-_BIGRAMS = ("SELECT lang, side, doc_id, ((unicode(substr(t, i::INT, 1)) * 31 + unicode(substr(t, i::INT + 1, 1))) % 4096)::INT AS bucket "
-            "FROM (SELECT lang, side, doc_id, {t} AS t FROM lang_docs), unnest(range(1, length(t))) AS u(i)")
+_BIGRAMS = ("SELECT lang, side, doc_id, unnest(list_transform(range(1, len(cp)), lambda i: ((cp[i] * 31 + cp[i + 1]) % 4096)::INT)) AS bucket "
+            "FROM (SELECT lang, side, doc_id, list_transform(string_split({t}, ''), lambda c: unicode(c)) AS cp FROM lang_docs)")
 
 
 def profile(spark, sf_dir):
@@ -547,8 +546,8 @@ def x5(spark, sf_dir):
     "SELECT shard::INT AS shard, response_id AS seq, valid AS rows, flush_no FROM r", 50, "response_id % 4"))
 def x6(spark, sf_dir):
     base = shared_folder(spark, "arrivals")
-    arrivals = refine.discards_per_answer(verified(spark, sf_dir)).select(
+    rows = refine.discards_per_answer(verified(spark, sf_dir)).select(
         (F.col("response_id") % 4).cast("int").alias("shard"), F.col("response_id").alias("seq"), F.col("valid").alias("rows"))
-    arrivals.write.parquet(f"{base}/in")
-    stream = jobs.file_stream(spark, f"{base}/in", arrivals.schema)
+    rows.write.parquet(f"{base}/in")
+    stream = jobs.file_stream(spark, f"{base}/in", rows.schema)
     return jobs.run_to_table(jobs.checkpoint_stream(stream, 50), "flushes")

@@ -26,7 +26,7 @@ def f1(spark, sf_dir):
 @query("f2_py_tokens",
        f"SELECT doc_id, len(t)::INT AS n_tokens, t[1] AS first_token, t[-1] AS last_token FROM (SELECT doc_id, regexp_extract_all(text, '[^{RE2_WS}]+') AS t FROM documents)")
 def f2(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").withColumn("t", text.py_tokens(F.col("text"))).select(
+    return views.documents(spark, sf_dir).withColumn("t", text.py_tokens(F.col("text"))).select(
         "doc_id", F.size("t").alias("n_tokens"), F.get("t", F.lit(0)).alias("first_token"),
         F.element_at("t", -1).alias("last_token"))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dragoman import dims
-from dragoman.functions.text import py_strip
+from dragoman.functions.plan import through_table
+from dragoman.functions.text import hash_bucket
 from dragoman.functions.variants import kind
 from dragoman.operators import cascade, evaluate, filters, gate, language, planning, progress, refine, routing, scoring, split, tokens
 from dragoman.plans import views
@@ -100,7 +101,7 @@ def s6(spark, sf_dir):
     "SELECT w FROM (SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\r\\x0b\\x0c]+')) AS w FROM documents) GROUP BY w HAVING count(*) >= 2)")
 def s8(spark, sf_dir):
     folder = shared_folder(spark, "labels")
-    vocabulary = tokens.word_vocabulary(tokens.word_counts(views.table(spark, sf_dir, "documents")))
+    vocabulary = tokens.word_vocabulary(tokens.word_counts(views.documents(spark, sf_dir)))
     written = examples.write_labels_and_vocabulary(spark, folder, vocabulary)
     parts = []
     for name in written:
@@ -176,7 +177,6 @@ def p12(spark, sf_dir):
     + lit(dims.FRONTIER_MODELS["structured"]) + " END END AS handler FROM (SELECT r.*, c.answer, " + pick_language("0", bucket("user_id"), 1)
     + " AS rc FROM routed r LEFT JOIN cache c ON c.text = r.text)", "routed", "cache"))
 def p13(spark, sf_dir):
-    from dragoman.functions.text import hash_bucket
     _, resource = planning.language_of(F.lit(0), hash_bucket(F.col("user_id")))
     rows = routed(spark, sf_dir).withColumn("resource_class", resource)
     return routing.dispatch(rows, views.cache(spark, sf_dir)).select(
@@ -191,7 +191,7 @@ def j5(spark, sf_dir):
 @query("j5_regex_classify_documents",
        f"SELECT doc_id, {CASCADE_LABEL} AS label FROM (SELECT doc_id, {first_match('text')} AS rule_no FROM documents)")
 def j5_documents(spark, sf_dir):
-    return cascade.regex_classify(views.table(spark, sf_dir, "documents")).select("doc_id", "label")
+    return cascade.regex_classify(views.documents(spark, sf_dir)).select("doc_id", "label")
 
 
 @query("u2_union_gate_model", with_views(
@@ -276,7 +276,7 @@ REFINED_QUOTA = ("(SELECT intent_class_id, (ceil(avg(n) OVER () / 2) * (intent_c
     "SELECT response_id, item_no, intent_class_id, class_rank FROM (SELECT r.*, q.remaining, row_number() OVER ("
     f"PARTITION BY intent_class_id ORDER BY response_id, item_no) AS class_rank FROM refined r JOIN {REFINED_QUOTA} q USING (intent_class_id)) WHERE class_rank <= remaining", "refined"))
 def w2(spark, sf_dir):
-    rows = refine.refine(views.raw_responses(spark, sf_dir))
+    rows = through_table(refine.refine(views.raw_responses(spark, sf_dir)), "refined")
     sizes = rows.groupBy("intent_class_id").agg(F.count(F.lit(1)).alias("n"))
     mean = sizes.agg(F.avg("n")).scalar()
     remaining = sizes.select("intent_class_id", F.round(
@@ -290,7 +290,7 @@ ARRIVALS = "(SELECT response_id, count_if(status = 'valid') AS valid FROM verifi
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid rows each answer brings, in arrival order."""
-    return refine.discards_per_answer(verified(spark, sf_dir)).select("response_id", "valid")
+    return through_table(refine.discards_per_answer(verified(spark, sf_dir)).select("response_id", "valid"), "arrivals")
 
 
 @query("w3_checkpoint_batches_even", with_views(

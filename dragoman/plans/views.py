@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dragoman import dims
-from dragoman.functions.plan import bind_once
+from dragoman.functions.plan import bind_once, spread_small
 from dragoman.functions.text import hash_bucket
 from dragoman.operators import cascade
 from dragoman.operators.planning import language_of
@@ -44,6 +44,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, spread over the cores when the table is small: their texts are long."""
+    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "events"), "event_id")
+
+
 def _case(number: Column, values: list[Column]) -> Column:
     chain = F.when(number == 0, values[0])
     for i, value in enumerate(values[1:], start=1):
@@ -62,7 +71,7 @@ def _fill(template: str) -> Column:
 
 def utterances(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Templated messages, one per event (of the table, or of a stream of it)."""
-    source = table(spark, sf_dir, "events") if events is None else events
+    source = _events(spark, sf_dir) if events is None else events
     events = source.withColumn("k", (F.col("event_id") % 36).cast("int"))
     filled = bind_once(events, {"text": _case(F.col("k"), [_fill(t) for t in MESSAGES])})
     return filled.select(F.col("event_id").alias("msg_id"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "k", "value", "text")
@@ -75,7 +84,7 @@ def _label(class_id: Column) -> Column:
 def example_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSONL lines of labelled examples with faults, as ``(file_class_id, line_no, line)``."""
     e = F.col("event_id")
-    events = bind_once(table(spark, sf_dir, "events").select("event_id"), {
+    events = bind_once(_events(spark, sf_dir).select("event_id"), {
         "file_class_id": (e % 22 + 1).cast("int"), "fault": F.floor(e / 22) % 12, "draw": hash_bucket(e)})
     iso, resource = language_of(F.col("file_class_id"), F.col("draw"))
     events = bind_once(events, {"label": _label(F.col("file_class_id")), "iso": iso, "resource": resource})
@@ -118,7 +127,7 @@ def _raw_item() -> Column:
 def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untrusted model answers: ten items each, eight kinds of wrapping."""
     e = F.col("event_id")
-    events = table(spark, sf_dir, "events").select("event_id", "ts").withColumn("response_id", F.floor(e / 10))
+    events = _events(spark, sf_dir).select("event_id", "ts").withColumn("response_id", F.floor(e / 10))
     r = F.col("response_id")
     drawn = bind_once(events, {"class_id": (F.floor(r / 3) % 22 + 1).cast("int"), "draw": hash_bucket(e)})
     iso, resource = language_of(F.col("class_id"), F.col("draw"))
@@ -255,7 +264,7 @@ def external_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lang_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the side (train/eval) their id falls on."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", "text", "lang", F.when(hash_bucket(F.col("doc_id")) < 80, "train").otherwise("eval").alias("side"))
 
 
