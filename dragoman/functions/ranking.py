@@ -29,7 +29,7 @@ def _offsets(df: DataFrame, groups: list[str], value: Column) -> DataFrame:
     return per_bucket.select(
         *groups, "_bucket",
         F.coalesce(F.sum("_bucket_sum").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_bucket_sum").over(whole).alias("_group_sum"),
+        F.sum("_bucket_sum").over(whole).alias("_group_sum"), "_bucket_sum",
     )
 
 
@@ -51,7 +51,7 @@ def ranked(df: DataFrame, groups: list[str], bucket: Column, order: list, out: s
         result = result.filter(F.col(out) <= below)
     if total:
         result = result.withColumn(total, F.col("_group_sum"))
-    return result.drop("_bucket", "_offset", "_group_sum")
+    return result.drop("_bucket", "_offset", "_group_sum", "_bucket_sum")
 
 
 def running_total(df: DataFrame, groups: list[str], bucket: Column, order: list, value: Column,
@@ -62,44 +62,42 @@ def running_total(df: DataFrame, groups: list[str], bucket: Column, order: list,
     inside = (Window.partitionBy(*groups, "_bucket").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return joined.withColumn(out, F.col("_offset") + F.sum("_value").over(inside)).drop(
-        "_bucket", "_value", "_offset", "_group_sum")
+        "_bucket", "_value", "_offset", "_group_sum", "_bucket_sum")
 
 
 def exact_percentiles(df: DataFrame, groups: list[str], value: str, shares: dict[str, float],
                       width: float) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
-    Equal values are merged first (a hot value becomes one row), a histogram of fixed
-    ``width`` finds the few buckets that hold the wanted ranks, and only those are sorted.
-    ``percentile()`` would build the whole value table of a group in one task.
+    A histogram of fixed ``width`` (a count per group and bucket, combined map-side) finds
+    the few buckets that hold the wanted ranks. A second pass keeps the rows of those
+    buckets only, merges equal values, so a hot value becomes one row, and ranks what is
+    left. ``percentile()`` would build the whole value table of a group in one task.
     """
-    merged = (df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_bucket", F.floor(F.col(value) / width)))
-    offsets = _offsets(merged, groups, F.col("_n"))
+    cut = df.filter(F.col(value).isNotNull()).select(*groups, value, F.floor(F.col(value) / width).alias("_bucket"))
     wanted = []
     for name, share in shares.items():
         position = F.lit(float(share)) * (F.col("_group_sum") - 1)
         for end, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             wanted.append(F.struct(F.lit(name).alias("name"), F.lit(end).alias("end"),
                                    rank.cast("bigint").alias("rank"), (position - F.floor(position)).alias("frac")))
-    size = merged.groupBy(*groups, "_bucket").agg(F.sum("_n").alias("_size"))
-    hits = (offsets.join(size, [*groups, "_bucket"])
-            .withColumn("_w", F.explode(F.array(*wanted)))
-            .filter((F.col("_w.rank") >= F.col("_offset")) & (F.col("_w.rank") < F.col("_offset") + F.col("_size"))))
-    needed = hits.select(*groups, "_bucket", "_offset").distinct()
+    # at most two ranks per share and group are wanted, so that many buckets per group remain
+    needed = (_offsets(cut, groups, F.lit(1))
+              .withColumn("_wanted", F.filter(F.array(*wanted), lambda w: (w["rank"] >= F.col("_offset")) & (
+                  w["rank"] < F.col("_offset") + F.col("_bucket_sum"))))
+              .filter(F.size("_wanted") > 0).select(*groups, "_bucket", "_offset", "_wanted"))
+    merged = (cut.join(F.broadcast(needed), [*groups, "_bucket"])
+              .groupBy(*groups, "_bucket", value).agg(
+                  F.count(F.lit(1)).alias("_n"), F.first("_offset").alias("_offset"), F.first("_wanted").alias("_wanted")))
     inside = (Window.partitionBy(*groups, "_bucket").orderBy(value)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    located = (merged.join(needed, [*groups, "_bucket"])
-               .withColumn("_last", F.col("_offset") + F.sum("_n").over(inside))
-               .withColumn("_first", F.col("_last") - F.col("_n")))
-    found = (located.select(*groups, "_bucket", F.col(value).alias("_v"), "_first", "_last")
-             .join(hits.select(*groups, "_bucket", "_w.*"), [*groups, "_bucket"])
-             .filter((F.col("rank") >= F.col("_first")) & (F.col("rank") < F.col("_last"))))
-    picked = [
-        (F.max(F.when((F.col("name") == name) & (F.col("end") == "lo"), F.col("_v")))
-         + F.max(F.when(F.col("name") == name, F.col("frac")))
-         * (F.max(F.when((F.col("name") == name) & (F.col("end") == "hi"), F.col("_v")))
-            - F.max(F.when((F.col("name") == name) & (F.col("end") == "lo"), F.col("_v"))))).alias(name)
-        for name in shares
-    ]
-    return found.groupBy(*groups).agg(*picked)
+    found = (merged.withColumn("_last", F.col("_offset") + F.sum("_n").over(inside))
+             .withColumn("w", F.explode("_wanted"))
+             .filter((F.col("w.rank") < F.col("_last")) & (F.col("w.rank") >= F.col("_last") - F.col("_n"))))
+
+    def at(name: str, end: str) -> Column:
+        return F.max(F.when((F.col("w.name") == name) & (F.col("w.end") == end), F.col(value)))
+
+    return found.groupBy(*groups).agg(*[
+        (at(name, "lo") + F.max(F.when(F.col("w.name") == name, F.col("w.frac"))) * (at(name, "hi") - at(name, "lo"))).alias(name)
+        for name in shares])

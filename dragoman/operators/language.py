@@ -18,17 +18,20 @@ SCRIPTS = [("ar", "؀-ۿ"), ("hi", "ऀ-ॿ"), ("zh", "一-鿿")]
 
 
 def bigram_buckets(text: Column) -> Column:
-    """Bucket numbers of the adjacent character pairs of the lower-cased text."""
-    points = F.transform(F.split(F.lower(text), ""), F.ascii)
-    return F.zip_with(F.slice(points, 1, F.greatest(F.size(points) - 1, F.lit(0))),
-                      F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))),
-                      lambda a, b: (a * 31 + b) % BUCKETS)
+    """Bucket numbers of the adjacent character pairs of the lower-cased text.
+
+    One entry per character; the last one has no successor and is null.
+    """
+    bound = F.array(F.transform(F.split(F.lower(text), ""), F.ascii))
+    pairs = F.transform(bound, lambda points: F.transform(
+        points, lambda a, i: (a * 31 + F.get(points, i + 1)) % BUCKETS))
+    return F.get(pairs, F.lit(0))
 
 
 def bigram_counts(texts: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """Counts per language and bucket; at most languages x buckets rows."""
     return (texts.select(F.col(lang).alias("lang"), F.explode(bigram_buckets(F.col(text))).alias("bucket"))
-            .groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n")))
+            .filter(F.col("bucket").isNotNull()).groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
 def language_profile(counts: DataFrame) -> DataFrame:
@@ -52,7 +55,8 @@ def with_language_scores(texts: DataFrame, profile: DataFrame, text: str = "text
     known = profile.agg(F.collect_list(F.struct("lang", "logp"))).scalar()
     staged = texts.withColumn("_buckets", bigram_buckets(F.col(text))).withColumn("_known", known)
     scores = F.transform("_known", lambda k: F.struct(
-        (-F.aggregate("_buckets", F.lit(0.0), lambda acc, b: acc + F.get(k["logp"], b)) / F.size("_buckets")).alias("neg"),
+        (-F.aggregate("_buckets", F.lit(0.0), lambda acc, b: acc + F.coalesce(F.get(k["logp"], b), F.lit(0.0)))
+         / F.greatest(F.size("_buckets") - 1, F.lit(1))).alias("neg"),
         k["lang"].alias("lang")))
     return staged.withColumn("lang_scores", F.transform(F.array_sort(scores), lambda s: F.struct(
         s["lang"].alias("lang"), (-s["neg"]).alias("score")))).drop("_buckets", "_known")

@@ -24,6 +24,8 @@ def build_session(app: str = "dragoman", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call sites of every column expression are for debugging; recording them slows plan building
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
