@@ -54,6 +54,35 @@ def ranked(df: DataFrame, groups: list[str], bucket: Column, order: list, out: s
     return result.drop("_bucket", "_offset", "_group_sum", "_bucket_sum")
 
 
+def keys_at_ranks(df: DataFrame, groups: list[str], bucket: Column, order: list[str], ranks: dict[str, Column],
+                  limits: DataFrame | None = None) -> DataFrame:
+    """The order key (a struct of ``order``) found at given 1-based ranks, one row per group.
+
+    ``ranks`` are expressions over ``_group_sum`` (rows of the group) and the columns of
+    ``limits``, a dimension by group; ranks past the end mean the last row, ranks below 1
+    give null. Only the buckets that hold a wanted rank are sorted. "The first n rows of a
+    group" is then a comparison with this key: the rows themselves are neither shuffled
+    nor sorted.
+    """
+    cut = df.select(*groups, *order, bucket.alias("_bucket"))
+    offsets = _offsets(cut, groups, F.lit(1))
+    if limits is not None:
+        offsets = offsets.join(F.broadcast(limits), groups)
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.least(rank.cast("bigint"), F.col("_group_sum")).alias("rank"))
+        for name, rank in ranks.items()])
+    # at most one bucket per group and rank remains
+    needed = (offsets.withColumn("_wanted", F.filter(wanted, lambda w: (w["rank"] > F.col("_offset")) & (
+        w["rank"] <= F.col("_offset") + F.col("_bucket_sum"))))
+        .filter(F.size("_wanted") > 0).select(*groups, "_bucket", "_offset", "_wanted"))
+    inside = Window.partitionBy(*groups, "_bucket").orderBy(*order)
+    found = (cut.join(F.broadcast(needed), [*groups, "_bucket"])
+             .withColumn("_rank", F.col("_offset") + F.row_number().over(inside))
+             .withColumn("_w", F.explode("_wanted")).filter(F.col("_w.rank") == F.col("_rank")))
+    return found.groupBy(*groups).agg(*[
+        F.max(F.when(F.col("_w.name") == name, F.struct(*order))).alias(name) for name in ranks])
+
+
 def running_total(df: DataFrame, groups: list[str], bucket: Column, order: list, value: Column,
                   out: str = "running") -> DataFrame:
     """Add the exact inclusive running sum of ``value`` within ``groups`` by ``order``."""

@@ -41,6 +41,19 @@ def java_pattern(pattern: str, ignore_case: bool) -> str:
     return ("(?diu)" if ignore_case else "(?d)") + body
 
 
+def fold_case(text: Column) -> Column:
+    """Lower case in which a lower-case ASCII pattern finds what it finds ignoring case.
+
+    The four letters outside ASCII that fold to an ASCII one are mapped first.
+    """
+    return F.lower(F.translate(text, "\u017f\u0131\u0130\u212a", "siik"))
+
+
+def folds(pattern: str) -> bool:
+    """Whether a pattern may run on folded text: lower-case ASCII, no class escapes."""
+    return pattern.isascii() and pattern == pattern.lower() and "\\" not in pattern
+
+
 def distinct_chars(text: Column) -> Column:
     """Distinct code points of a string."""
     return F.array_distinct(F.split(text, ""))

@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
-from dragoman.functions.ranking import ROWS_PER_BUCKET, ranked, running_total, seq_bucket
+from dragoman.functions.plan import bind_once
+from dragoman.functions.ranking import ROWS_PER_BUCKET, keys_at_ranks, running_total, seq_bucket
 
 
 def quota_cap(examples: DataFrame, remaining: DataFrame, seq: str, order: list[str],
@@ -17,27 +18,31 @@ def quota_cap(examples: DataFrame, remaining: DataFrame, seq: str, order: list[s
     """The first ``remaining`` rows of each class by arrival.
 
     ``remaining(intent_class_id, remaining)`` is a dimension. ``seq`` is the arrival number,
-    leading in ``order``; buckets past a class's quota are dropped before rows are sorted.
+    leading in the unique ``order``. The last key a class may accept is found first; keeping
+    rows up to it is a filter.
     """
-    limited = examples.join(F.broadcast(remaining), "intent_class_id").filter(F.col("remaining") > 0)
-    return ranked(limited, ["intent_class_id"], seq_bucket(F.col(seq), rows_per_bucket), order,
-                  out="class_rank", below=F.col("remaining"))
+    cls = "intent_class_id"
+    last = keys_at_ranks(examples, [cls], seq_bucket(F.col(seq), rows_per_bucket), order,
+                         {"_last": F.col("remaining")}, remaining.filter(F.col("remaining") > 0))
+    return examples.join(F.broadcast(last), cls).filter(F.struct(*order) <= F.col("_last")).drop("_last")
 
 
 def stratified_split(examples: DataFrame, row_id: str, stratum: str, seed: int = 42,
                      test_share: float = dims.TEST_SHARE, val_share: float = dims.VAL_SHARE) -> DataFrame:
     """Add ``split`` (test/val/train) with exact shares per stratum, by a seeded hash order.
 
-    Rank in the stratum decides; a hash prefix is the bucket, so a large stratum is ranked
-    in many tasks.
+    The hash keys where test and validation end are found per stratum (from the few hash
+    buckets that hold them); each row is then placed by comparing its own hash. The rows are
+    not shuffled, however large a stratum is. Strata are a dimension.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(row_id).cast("string")))
-    hashed = examples.withColumn("_h", digest)
-    placed = ranked(hashed, [stratum], F.substring("_h", 1, 3), [F.col("_h"), F.col(row_id)], out="_rank", total="_n")
-    n_test = F.round(F.col("_n") * F.lit(test_share))
-    n_val = F.round(F.col("_n") * F.lit(val_share))
-    split = F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_test + n_val, "val").otherwise("train")
-    return placed.withColumn("split", split).drop("_h", "_rank", "_n")
+    hashed = bind_once(examples, {"_h": digest})
+    n_test = F.round(F.col("_group_sum") * F.lit(test_share))
+    n_val = F.round(F.col("_group_sum") * F.lit(val_share))
+    ends = keys_at_ranks(hashed, [stratum], F.substring("_h", 1, 4), ["_h", row_id], {"_test": n_test, "_val": n_test + n_val})
+    key = F.struct("_h", row_id)
+    split = F.when(key <= F.col("_test"), "test").when(key <= F.col("_val"), "val").otherwise("train")
+    return hashed.join(F.broadcast(ends), stratum, "left").withColumn("split", split).drop("_h", "_test", "_val")
 
 
 def checkpoint_batches_even(arrivals: DataFrame, keys: list[str], seq: str, rows: str,

@@ -273,7 +273,7 @@ REFINED_QUOTA = ("(SELECT intent_class_id, (ceil(avg(n) OVER () / 2) * (intent_c
 
 
 @query("w2_quota_cap", with_views(
-    "SELECT response_id, item_no, intent_class_id, class_rank FROM (SELECT r.*, q.remaining, row_number() OVER ("
+    "SELECT response_id, item_no, intent_class_id FROM (SELECT r.*, q.remaining, row_number() OVER ("
     f"PARTITION BY intent_class_id ORDER BY response_id, item_no) AS class_rank FROM refined r JOIN {REFINED_QUOTA} q USING (intent_class_id)) WHERE class_rank <= remaining", "refined"))
 def w2(spark, sf_dir):
     rows = through_table(refine.refine(views.raw_responses(spark, sf_dir)), "refined")
@@ -282,7 +282,7 @@ def w2(spark, sf_dir):
     remaining = sizes.select("intent_class_id", F.round(
         F.ceil(mean / 2) * (F.col("intent_class_id") % 4) / 3).cast("bigint").alias("remaining"))
     return split.quota_cap(rows, remaining, "response_id", ["response_id", "item_no"], rows_per_bucket=100).select(
-        "response_id", "item_no", "intent_class_id", "class_rank")
+        "response_id", "item_no", "intent_class_id")
 
 
 ARRIVALS = "(SELECT response_id, count_if(status = 'valid') AS valid FROM verified GROUP BY 1)"

@@ -11,24 +11,19 @@ def with_class_file(examples: DataFrame) -> DataFrame:
     return examples.withColumn("class_file", dims.class_file(F.col("intent_class_id"), F.col("intent_class_label")))
 
 
-def write_examples(examples: DataFrame, folder: str, spread: int = 8, batch_id: int | None = None) -> None:
+def write_examples(examples: DataFrame, folder: str, batch_id: int | None = None) -> None:
     """Append examples, one folder per class; classes without new rows are not touched.
 
-    Rows are spread over ``spread`` salts per class, so a class that holds a third of the
-    rows is written by many tasks and a class never by every task. With ``batch_id`` the
-    write goes to its own folder and replaces it, so a replayed micro-batch adds nothing.
+    The rebalance hint gathers a class into few files and lets the adaptive planner split a
+    class that is far larger than the others over as many tasks as it needs. With
+    ``batch_id`` the write goes to its own folder and replaces it, so a replayed micro-batch
+    adds nothing.
     """
-    salted = with_class_file(examples).withColumn(
-        "_salt", F.pmod(F.xxhash64("text", "generated_by", *_ids(examples)), F.lit(spread)))
-    rows = salted.repartition("class_file", "_salt").drop("_salt")
+    rows = with_class_file(examples).hint("rebalance", "class_file")
     target = folder if batch_id is None else f"{folder}/batch={batch_id}"
     rows.write.mode("append" if batch_id is None else "overwrite").partitionBy("class_file").json(target)
 
 
-def _ids(df: DataFrame) -> list[str]:
-    return [c for c in ("response_id", "item_no") if c in df.columns]
-
-
 def benchmark_report(overall: DataFrame, by_category: DataFrame, run_at: str) -> DataFrame:
     """One row with the nested JSON summary of a benchmark run.
 

@@ -9,7 +9,7 @@ from dragoman.operators import cascade, gate
 from dragoman.plans import views
 from tests.benchmark_cases import CASES
 
-ALPHABET = ["a", "b", "e", "z", "q", "w", "s", "d", "1", "!", "é", "你", "ي", "ж", "カ", " ", "\n", "\xa0", "\x1c", "　", "ſ", "K", "😀"]
+ALPHABET = ["a", "b", "e", "z", "q", "w", "s", "d", "1", "!", "é", "你", "ي", "ж", "カ", " ", "\n", "\xa0", "\x1c", "　", "ſ", "K", "İ", "ı", "😀"]
 
 
 def random_texts(n=400, seed=7):
@@ -82,7 +82,7 @@ def test_words_from_one_keyboard_row_are_noise_and_accents_alone_too(spark):
 def test_cascade_agrees_with_python_regex(spark):
     rng = random.Random(11)
     pieces = ["write", "python", "report", "how do i", "ignore", "instructions", "\n", " ", "today", "vs ", "fix", "bug", "BYE",
-              "hello", "!", "ſql query", "what time", "x" * 12, "go to ", "turn on", "log-out", "　", "###"]
+              "hello", "!", "ſql query", "İnstructIons", "dRaft RepORT", "K", "thanK", "WRİTE", "fıx", "what time", "x" * 12, "go to ", "turn on", "log-out", "　", "###"]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))) for _ in range(600)] + [c[0] for c in CASES]
     compiled = [(re.compile(p, re.I if ic else 0), label) for p, ic, label, _ in dims.PATTERNS]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
