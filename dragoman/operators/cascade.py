@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dragoman.dims import PATTERNS
 from dragoman.functions.plan import bind_once
-from dragoman.functions.text import fold_case, folds, java_pattern
+from dragoman.functions.text import contains_any, fold_case, folds, java_pattern
 
 MAX_PATTERNS = 2000
 
@@ -24,7 +24,7 @@ def first_match(text: Column, folded: Column, patterns: Sequence[tuple]) -> Colu
     chain = None
     for number, (pattern, ignore_case, *_rest) in enumerate(patterns):
         if ignore_case and folds(pattern):
-            hit = folded.rlike(java_pattern(pattern, False))
+            hit = contains_any(folded, pattern)
         else:
             hit = text.rlike(java_pattern(pattern, ignore_case))
         chain = F.when(hit, F.lit(number)) if chain is None else chain.when(hit, F.lit(number))

@@ -459,7 +459,8 @@ def n8(spark, sf_dir):
 # --- models --------------------------------------------------------------------------------------------
 def _fit(spark, sf_dir):
     from dragoman.operators.split import stratified_split
-    parts = stratified_split(filtered(spark, sf_dir), "example_id", "class_id")
+    rows = through_table(filtered(spark, sf_dir), "filtered")
+    parts = stratified_split(rows, "example_id", "class_id")
     train = parts.filter(F.col("split") == "train")
     return models.train_two_head(train, word_features=1 << 10, char_features=1 << 11, max_iter=15), parts
 

@@ -354,7 +354,8 @@ def p11(spark, sf_dir):
     "SELECT example_id, CASE WHEN rk <= round(0.05::DOUBLE * n) THEN 'test' WHEN rk <= round(0.05::DOUBLE * n) + round(0.10::DOUBLE * n) THEN 'val' ELSE 'train' END AS split FROM ("
     "SELECT *, row_number() OVER (PARTITION BY class_id ORDER BY md5('42|' || example_id), example_id) AS rk, count(*) OVER (PARTITION BY class_id) AS n FROM filtered)", "filtered"))
 def w4(spark, sf_dir):
-    return split.stratified_split(filtered(spark, sf_dir), "example_id", "class_id").select("example_id", "split")
+    rows = through_table(filtered(spark, sf_dir).select("example_id", "class_id"), "filtered")
+    return split.stratified_split(rows, "example_id", "class_id").select("example_id", "split")
 
 
 @query("a1_class_counts", with_views(
