@@ -399,7 +399,7 @@ def n1(spark, sf_dir):
 def n2(spark, sf_dir):
     merges, vocabulary = tokens.bpe_train(views.documents(spark, sf_dir), merges=12)
     return tokens.bpe_encode(views.documents(spark, sf_dir), merges, tokens.vocabulary_map(vocabulary)).select(
-        "doc_id", F.size("ids").alias("n_ids"), F.slice("ids", 1, 126).alias("ids"))
+        "doc_id", F.size("ids").alias("n_ids"), F.md5(F.array_join("ids", ",")).alias("ids_md5"))
 
 
 @query("n3_fixed_length",
@@ -426,9 +426,9 @@ def profile(spark, sf_dir):
 
 
 @query("n7_language_counts", with_views(
-    "SELECT lang, bucket, count(*) AS n FROM (" + _BIGRAMS.format(t="lower(text)") + ") WHERE side = 'train' GROUP BY ALL", "lang_docs"))
+    "SELECT lang, bucket, count(*) AS n FROM (" + _BIGRAMS.format(t="lower(text)") + ") GROUP BY ALL", "lang_docs"))
 def n7_counts(spark, sf_dir):
-    return language.bigram_counts(views.lang_docs(spark, sf_dir).filter(F.col("side") == "train"))
+    return language.bigram_counts(views.documents(spark, sf_dir))
 
 
 @query("n7_detect_language", with_views("", "lang_docs", "ws").rstrip() + (
@@ -436,17 +436,16 @@ def n7_counts(spark, sf_dir):
     "c AS (SELECT lang, bucket, count(*) AS n FROM (" + _BIGRAMS.format(t="lower(text)") + ") WHERE side = 'train' GROUP BY ALL), "
     "t AS (SELECT lang, sum(n) AS total FROM c GROUP BY 1), "
     "p AS (SELECT t.lang, b.bucket, ln((coalesce(n, 0) + 1)::DOUBLE / (total + 4096)) AS lp FROM t CROSS JOIN (SELECT unnest(range(4096))::INT AS bucket) b LEFT JOIN c ON c.lang = t.lang AND c.bucket = b.bucket), "
-    "s AS (SELECT doc_id, p.lang, avg(lp) AS score FROM g JOIN p ON p.bucket = g.bucket WHERE side = 'eval' GROUP BY ALL), "
+    "s AS (SELECT doc_id, p.lang, avg(lp) AS score FROM g JOIN p ON p.bucket = g.bucket GROUP BY ALL), "
     "w AS (SELECT *, exp((score - max(score) OVER (PARTITION BY doc_id)) * 20) AS w FROM s), "
     "q AS (SELECT doc_id, lang, w / sum(w) OVER (PARTITION BY doc_id) AS share, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS place FROM w), "
     "d AS (SELECT doc_id, max(lang) FILTER (place = 1) AS lang1, max(share) FILTER (place = 1) AS s1, coalesce(max(share) FILTER (place = 2), 0) AS s2 FROM q GROUP BY 1) "
-    "SELECT l.doc_id, l.lang, CASE WHEN length(trim(text, (SELECT s FROM ws))) < 3 OR s1 IS NULL THEN 'en' WHEN s1 - s2 >= 0.1 THEN lang1 ELSE 'en' END AS language_iso, "
+    "SELECT l.doc_id, l.lang, l.side, CASE WHEN length(trim(text, (SELECT s FROM ws))) < 3 OR s1 IS NULL THEN 'en' WHEN s1 - s2 >= 0.1 THEN lang1 ELSE 'en' END AS language_iso, "
     "CASE WHEN length(trim(text, (SELECT s FROM ws))) < 3 OR s1 IS NULL THEN 0.0 WHEN s1 - s2 >= 0.1 THEN round(s1, 4) ELSE 0.0 END AS language_confidence "
-    "FROM lang_docs l LEFT JOIN d USING (doc_id) WHERE side = 'eval'"))
+    "FROM lang_docs l LEFT JOIN d USING (doc_id)"))
 def n7(spark, sf_dir):
-    held_out = views.lang_docs(spark, sf_dir).filter(F.col("side") == "eval")
-    return language.detect_language(held_out, profile(spark, sf_dir)).select(
-        "doc_id", "lang", "language_iso", "language_confidence")
+    return language.detect_language(views.lang_docs(spark, sf_dir), profile(spark, sf_dir)).select(
+        "doc_id", "lang", "side", "language_iso", "language_confidence")
 
 
 @query("n8_iso_to_resource", with_views(

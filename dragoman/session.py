@@ -36,6 +36,8 @@ def build_session(app: str = "dragoman", master: str | None = None, **conf: str)
 def apply_runtime_settings(spark: SparkSession) -> None:
     """Set what must hold for right results on a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # the stateful streams need a store that holds typed state variables
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
