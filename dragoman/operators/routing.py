@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
 from dragoman.functions.skew import salted_left_join
@@ -40,7 +40,8 @@ def dispatch(routed: DataFrame, cache: DataFrame, templates: DataFrame | None =
 
     ``routed`` has ``action, label, tier, resource_class``; ``cache(text, answer)`` is unique
     by text and may be large. Only ``cache_lookup`` rows enter the cache join, and a text
-    asked very often is salted. Adds ``response, reason, source, handler``.
+    asked very often is salted. ``routed`` is read once per branch and once to find hot texts,
+    so it should be a stored table. Adds ``response, reason, source, handler``.
     """
     if templates is None:
         templates = dims.dim_template(routed.sparkSession)
@@ -66,7 +67,6 @@ def routing_mix(routed: DataFrame, unit_cost: float = 0.0002) -> DataFrame:
     """Traffic share per tier and action, frontier calls, cost with and without routing."""
     per = routed.groupBy("tier", "action").agg(F.count(F.lit(1)).alias("messages"))
     # at most tiers x actions rows reach this window
-    from pyspark.sql import Window
     whole = Window.partitionBy(F.lit(0))
     frontier = F.col("action") == "route_to_frontier"
     return per.withColumn("total", F.sum("messages").over(whole)).select(

@@ -33,7 +33,8 @@ def stratified_split(examples: DataFrame, row_id: str, stratum: str, seed: int =
 
     The hash keys where test and validation end are found per stratum (from the few hash
     buckets that hold them); each row is then placed by comparing its own hash. The rows are
-    not shuffled, however large a stratum is. Strata are a dimension.
+    not shuffled, however large a stratum is. Strata are a dimension. The examples are read
+    three times (two narrow passes and the result), so they should be a stored table.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(row_id).cast("string")))
     hashed = bind_once(examples, {"_h": digest})

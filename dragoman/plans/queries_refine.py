@@ -178,7 +178,7 @@ def p12(spark, sf_dir):
     + " AS rc FROM routed r LEFT JOIN cache c ON c.text = r.text)", "routed", "cache"))
 def p13(spark, sf_dir):
     _, resource = planning.language_of(F.lit(0), hash_bucket(F.col("user_id")))
-    rows = routed(spark, sf_dir).withColumn("resource_class", resource)
+    rows = through_table(routed(spark, sf_dir).withColumn("resource_class", resource), "routed")
     return routing.dispatch(rows, views.cache(spark, sf_dir)).select(
         "msg_id", "action", "response", "reason", "source", "handler")
 
