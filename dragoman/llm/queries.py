@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dragoman.llm.common import table
 
@@ -25,3 +25,25 @@ def query(name: str, sql: str | None = None):
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dragoman.llm import simhash
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, radius=2)
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import ppm
+    docs = table(spark, sf_dir, "documents")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    held_out = F.crc32(key) % 3 == 1
+    model = ppm.train(spark, docs.filter(~held_out), key=key)
+    got = docs.select("doc_id", held_out.alias("held_out"), ppm.identify(spark, F.col("text"), model).alias("got"))
+    return got.select("doc_id", "held_out", "got.lang_pred", "got.score", "got.bits_per_byte")
+
+
+@query("op7_sentencepiece_round_trip")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from dragoman.llm import pieces
+    docs = table(spark, sf_dir, "documents")
+    got = pieces.round_trip(spark, F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return docs.select("doc_id", got.alias("got")).select(
+        "doc_id", (F.octet_length("got.ids") / 4).cast("long").alias("n_tokens"), F.sha2("got.ids", 256).alias("ids_sha256"),
+        F.sha2("got.decoded", 256).alias("decoded_sha256"))
