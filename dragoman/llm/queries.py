@@ -47,3 +47,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", got.alias("got")).select(
         "doc_id", (F.octet_length("got.ids") / 4).cast("long").alias("n_tokens"), F.sha2("got.ids", 256).alias("ids_sha256"),
         F.sha2("got.decoded", 256).alias("decoded_sha256"))
+
+
+def joined_spans(spans):
+    """kind:start:end of an array of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import secrets
+    found = table(spark, sf_dir, "documents").select("doc_id", secrets.scan(F.col("text")).alias("found"))
+    count = lambda kind: F.size(F.filter("found", lambda s: s.kind == kind)).cast("long")
+    base = F.filter("found", lambda s: s.kind != "costly")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+                        F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("found")).alias("spans"),
+                        count("costly").alias("n_costly"), F.array_max(F.transform("found", lambda s: s.cost)).alias("max_cost"))
