@@ -63,3 +63,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
                         F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("found")).alias("spans"),
                         count("costly").alias("n_costly"), F.array_max(F.transform("found", lambda s: s.cost)).alias("max_cost"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import toxicity
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda: F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    lexicon = toxicity.fit(spark, docs.filter(~held_out()), table(spark, sf_dir, "labels").filter(~held_out()))
+    got = docs.select("doc_id", held_out().alias("held_out"), toxicity.measures(spark, F.col("text"), lexicon).alias("m"))
+    return got.select("doc_id", "held_out", "m.score", (F.col("m.score") >= 0.5).cast("int").alias("predicted"), "m.hits")
