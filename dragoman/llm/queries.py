@@ -73,3 +73,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit(spark, docs.filter(~held_out()), table(spark, sf_dir, "labels").filter(~held_out()))
     got = docs.select("doc_id", held_out().alias("held_out"), toxicity.measures(spark, F.col("text"), lexicon).alias("m"))
     return got.select("doc_id", "held_out", "m.score", (F.col("m.score") >= 0.5).cast("int").alias("predicted"), "m.hits")
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import decontaminate
+    return decontaminate.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
