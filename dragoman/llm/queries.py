@@ -79,3 +79,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dragoman.llm import decontaminate
     return decontaminate.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_arc_to_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS payload_digest FROM pages),
+     f AS (SELECT payload_digest, max(page_id) AS first_id FROM p WHERE octet_length(b) >= 1000 GROUP BY 1)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, p.payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON octet_length(b) >= 1000 AND f.payload_digest = p.payload_digest""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import archives
+    records = archives.archived(spark, table(spark, sf_dir, "pages"))
+    page_id = archives.header_value(F.col("http_headers"), "X-Page-Id").cast("long")
+    rows = records.select("record_id", "record_type", "payload_bytes", "payload_digest", "refers_to_id", page_id.alias("page_id"))
+    first = rows.filter("record_type = 'response'").select(F.col("record_id").alias("first_id"), F.col("page_id").alias("first_page")).distinct()
+    key = F.coalesce("refers_to_id", "record_id")  # a response looks up itself, so no null key gathers in one task
+    joined = rows.join(first.hint("shuffle_hash"), key == F.col("first_id"), "left")
+    return joined.select("page_id", "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", F.col("first_page")).alias("refers_to"))
