@@ -97,3 +97,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.coalesce("refers_to_id", "record_id")  # a response looks up itself, so no null key gathers in one task
     joined = rows.join(first.hint("shuffle_hash"), key == F.col("first_id"), "left")
     return joined.select("page_id", "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", F.col("first_page")).alias("refers_to"))
+
+
+@query("op6_distribution_divergence")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import quality
+    docs = table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.references(docs))
