@@ -7,20 +7,23 @@ for a histogram to mean something. Column expressions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman.functions.plan import bind_once
 from dragoman.llm.common import bound_batches, col, through_table
 
 BLANK = r"[\x20\x09-\x0D]+"
-#: Classes of characters, in Java's regular expressions; what is in none is the last bin.
-CLASSES = {"lower": r"\p{Ll}", "upper": r"\p{Lu}", "letter": r"[\p{L}&&[^\p{Ll}\p{Lu}]]", "digit": r"\p{Nd}", "blank": r"[\s\p{Z}]",
-           "point": r"\p{P}", "sign": r"\p{S}"}
+#: What most characters of a text are; the classes are counted in what this leaves.
+PLAIN = r"[a-z\u00DF-\u00F6\u00F8-\u00FF\x20\x09-\x0D]+"
+#: Classes of the other characters, in Java's regular expressions. The bins of a histogram are PLAIN, these, and the rest.
+CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "point": r"\p{P}", "sign": r"\p{S}"}
 #: A word is common if it makes up this part of a language's words: at most 1 / COMMON words of each.
 COMMON = 0.005
 #: Languages with references of their own; rows of all others, and without one, use that of the whole corpus.
 MAX_REFERENCES = 50
 POOLED = ""
+#: Slots that words are hashed to before they are counted one by one.
+SLOTS = 1 << 15
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.24
 MAX_WORD_DISTANCE = 0.45
@@ -30,14 +33,15 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK, -1), lambda w: w != "")
 
 
-def plain_words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{Nd}]+", -1), lambda w: w != "")
+def unplain(text: Column) -> Column:
+    return F.regexp_replace(text, PLAIN, "")
 
 
-def class_counts(text: Column) -> Column:
-    """Counts of ``CLASSES`` and of all characters."""
-    return F.array(*[F.regexp_count(text, F.lit(p)).cast("long") for p in CLASSES.values()], F.length(text).cast("long"))
+def class_counts(chars: Column, rest: Column) -> Column:
+    """Counts of the bins from the number of characters and what is left without the plain ones."""
+    found = [F.regexp_count(rest, F.lit(p)) for p in CLASSES.values()]
+    other = F.length(rest) - sum(found[1:], found[0])
+    return F.transform(F.array(chars - F.length(rest), *found, other), lambda n: n.cast("long"))
 
 
 def repeated_words(words: Column) -> tuple[dict[str, Column], Column]:
@@ -47,11 +51,11 @@ def repeated_words(words: Column) -> tuple[dict[str, Column], Column]:
         F.array().cast("array<bigint>"))
     h = F.col("_windows")
     # most texts repeat no window; only the others are sorted
-    ranked = F.when(F.size(F.array_distinct(h)) < F.size(h), F.array_sort(F.transform(h, lambda x, k: F.struct(x.alias("h"), k.alias("k"))))).otherwise(
+    ranked = F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(F.transform(h, lambda x, k: F.struct(x.alias("h"), k.alias("k"))))).otherwise(
         F.array().cast("array<struct<h:bigint,k:int>>"))
     r = F.col("_ranked")
     same = lambda x, k: F.coalesce(F.get(r, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(r, k + 1)["h"] == x["h"], F.lit(False))
-    places = F.array_sort(F.transform(F.filter(r, same), lambda x: x["k"]))
+    places = F.sort_array(F.transform(F.filter(r, same), lambda x: x["k"]))
     p = F.col("_places")
     gaps = F.zip_with(F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: F.least(b - a, F.lit(3)))
     count = F.when(F.size(p) > 0, F.aggregate(gaps, F.lit(3), lambda s, g: s + g)).otherwise(0).cast("long")
@@ -72,30 +76,36 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(col(lang_col), F.lit(POOLED)).alias("lang"), col(text_col).alias("text")).filter("text is not null")
-    sums = [F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
-    found = rows.select("lang", class_counts(F.col("text")).alias("c")).groupBy("lang").agg(F.count("*").alias("n"), *sums)
-    found = through_table(found, "classes")
+    bins = [f"c{k}" for k in range(len(CLASSES) + 2)]
+    classes = bind_once(rows.select("lang", "text"), {"rest": unplain(F.col("text"))})
+    classes = bind_once(classes.select("lang", F.length("text").alias("chars"), "rest"), {"c": class_counts(F.col("chars"), F.col("rest"))})
+    found = through_table(classes.groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(F.col("c")[k]).alias(b) for k, b in enumerate(bins)]), "classes")
     own = [r["lang"] for r in found.filter(F.col("lang") != POOLED).orderBy(F.desc("n"), "lang").limit(MAX_REFERENCES).collect()]
-    named = lambda c: F.when(c.isin(own), c).otherwise(POOLED) if own else F.lit(POOLED)
-    counted = rows.select("lang", F.explode(plain_words(F.col("text"))).alias("word")).groupBy("lang", "word").count()
-    counted = through_table(counted, "words")
+    lang = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(POOLED) if own else F.lit(POOLED)
+    words = rows.select(lang.alias("lang"), F.explode(words_of(F.col("text"))).alias("word"))
+    slot = F.pmod(F.hash("word"), F.lit(SLOTS))
+    # a common word's slot holds at least its share, so few slots are left to count words in
+    slots = through_table(words.groupBy("lang", slot.alias("slot")).agg(F.count("*").alias("n")), "slots")
+    sizes = {r["lang"]: r["n"] for r in slots.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    sizes[None] = sum(sizes.values())
+    by_lang = slots.withColumn("all", F.sum("n").over(Window.partitionBy("lang"))).filter(F.col("n") >= COMMON * F.col("all")).select("slot")
+    pooled = slots.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON * sizes[None]).select("slot")
+    heavy = [r["slot"] for r in by_lang.union(pooled).distinct().collect()]
+    counted = through_table(words.filter(slot.isin(heavy) if heavy else F.lit(False)).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
+    shares: dict[str | None, dict[str, float]] = {}
+    limit = F.lit(None).cast("double")
+    for x in own:
+        limit = F.when(F.col("lang") == x, COMMON * sizes.get(x, 0)).otherwise(limit)
+    for r in counted.filter(F.col("n") >= limit).collect():
+        shares.setdefault(r["lang"], {})[r["word"]] = r["n"] / sizes[r["lang"]]
+    for r in counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON * sizes[None]).collect():
+        shares.setdefault(None, {})[r["word"]] = r["n"] / sizes[None]
     out = []
-    for pooled in (False, True):
-        lang = F.lit(POOLED) if pooled else F.col("lang")
-        part = found if pooled else found.filter(F.col("lang").isin(own))
-        total = part.groupBy(lang.alias("lang")).agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(CLASSES) + 1)])
-        words = (counted if pooled else counted.filter(F.col("lang").isin(own))).groupBy(lang.alias("lang"), "word").agg(F.sum("count").alias("n"))
-        size = words.groupBy("lang").agg(F.sum("n").alias("all"))
-        common = words.join(F.broadcast(size), "lang").filter(F.col("n") >= F.col("all") * COMMON).select("lang", "word", (F.col("n") / F.col("all")).alias("share"))
-        shares: dict[str, dict[str, float]] = {}
-        for r in common.collect():
-            shares.setdefault(r["lang"], {})[r["word"]] = r["share"]
-        for r in total.collect():
-            counts = [r[f"c{k}"] for k in range(len(CLASSES) + 1)]
-            chars = max(counts[-1], 1)
-            classes = [c / chars for c in counts[:-1]]
-            out.append({"lang": r["lang"], "classes": [*classes, max(0.0, 1 - sum(classes))], "words": shares.get(r["lang"], {})})
-    return out
+    for x, rows_of in [(x, found.filter(F.col("lang") == x)) for x in own] + [(None, found)]:
+        total = rows_of.agg(*[F.sum(b).alias(b) for b in bins]).first()
+        counts = [total[b] or 0 for b in bins]
+        out.append({"lang": POOLED if x is None else x, "classes": [c / max(sum(counts), 1) for c in counts], "words": shares.get(x, {})})
+    return out if sizes[None] else []
 
 
 def judged(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -108,9 +118,8 @@ def judged(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col:
     """
     text = F.coalesce(col(text_col), F.lit(""))
     df = docs.select(col(id_col).alias("doc_id"), text.alias("text"), F.coalesce(col(lang_col), F.lit(POOLED)).alias("lang"))
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.regexp_replace(x, BLANK, "") != "")
-    df = bind_once(df, {"words": words_of(F.col("text")), "lines": lines, "classes": class_counts(F.col("text")),
-                        "n_symbols": F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long"), "plain": plain_words(F.col("text"))}, drop=("text",))
+    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    df = bind_once(df, {"words": words_of(F.col("text")), "lines": lines, "chars": F.length("text"), "rest": unplain(F.col("text"))}, drop=("text",))
     bound, repeats = repeated_words(F.col("words"))
     by_lang = {r["lang"]: r for r in refs}
     pooled = by_lang.get(POOLED)
@@ -125,18 +134,18 @@ def judged(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col:
         return other if case is None else case.otherwise(other)
 
     shares = chosen(lambda r: F.array(*[F.lit(float(x)) for x in r["classes"]]), F.lit(None).cast("array<double>"))
-    common = chosen(lambda r: F.array_sort(F.filter("plain", lambda w: w.isin(list(r["words"])))) if r["words"] else F.array().cast("array<string>"),
+    common = chosen(lambda r: F.sort_array(F.filter("words", lambda w: w.isin(list(r["words"])))) if r["words"] else F.array().cast("array<string>"),
                     F.array().cast("array<string>"))
     table = chosen(lambda r: F.create_map(*[F.lit(x) for pair in sorted(r["words"].items()) for x in pair]) if r["words"] else F.create_map().cast("map<string,double>"),
                    F.create_map().cast("map<string,double>"))
     df = bind_once(df, {
         "n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "n_plain": F.size("plain"), "common": common, "shares": shares, "table": table, "_windows": bound["_windows"]}, drop=("words", "lines", "plain"))
+        "classes": class_counts(F.col("chars"), F.col("rest")), "n_symbols": F.regexp_count("rest", F.lit(r"[#*$%&|<>]")).cast("long"), "common": common, "shares": shares, "table": table, "_windows": bound["_windows"]}, drop=("words", "lines", "chars", "rest"))
     s = F.col("common")
     starts = F.filter(F.transform(s, lambda w, k: F.when(F.coalesce(F.get(s, k - 1) != w, F.lit(True)), k)), lambda k: k.isNotNull())
     df = bind_once(df, {"_ranked": bound["_ranked"], "starts": starts}, drop=("_windows",))
-    k, n = F.col("starts"), F.greatest(F.col("n_plain"), F.lit(1))
+    k, n = F.col("starts"), F.greatest(F.col("n_words"), F.lit(1))
     runs = F.transform(k, lambda x, i: F.struct(((F.coalesce(F.get(k, i + 1), F.size("common")) - x) / n).alias("p"), F.get(s, x).alias("w")))
     df = bind_once(df, {"_places": bound["_places"], "runs": runs}, drop=("_ranked", "starts"))
     runs = F.transform("runs", lambda r: F.struct(r["p"].alias("p"), F.element_at(F.col("table"), r["w"]).alias("q")))
@@ -147,10 +156,8 @@ def judged(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col:
                        lambda a, r: F.struct((a["d"] + _term(r["p"], r["q"])).alias("d"), (a["p"] + r["p"]).alias("p"), (a["q"] + r["q"]).alias("q")))
     df = bind_once(df, {"seen": seen, "q_all": q_all}, drop=("runs2", "table"))
     divergence = F.col("seen.d") + (F.col("q_all") - F.col("seen.q")) / 2 + _term(1 - F.col("seen.p"), 1 - F.col("q_all"))
-    size, c = F.greatest(F.col("classes")[len(CLASSES)], F.lit(1)), F.col("classes")
-    known = sum((c[i] for i in range(1, len(CLASSES))), c[0])
-    bins = [c[i] / size for i in range(len(CLASSES))] + [F.greatest(1 - known / size, F.lit(0.0))]
-    class_divergence = sum((_term(p, F.col("shares")[i]) for i, p in enumerate(bins)), F.lit(0.0))
+    size = F.greatest(F.aggregate("classes", F.lit(0).cast("long"), lambda a, n: a + n), F.lit(1))
+    class_divergence = sum((_term(F.col("classes")[k] / size, F.col("shares")[k]) for k in range(len(CLASSES) + 2)), F.lit(0.0))
     long_enough = F.col("n_words") >= MIN_WORDS
     root = lambda x: F.when(long_enough, F.sqrt(F.greatest(x, F.lit(0.0))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

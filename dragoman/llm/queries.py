@@ -104,3 +104,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dragoman.llm import quality
     docs = table(spark, sf_dir, "documents")
     return quality.judged(docs, quality.references(docs))
+
+
+def _register_op8() -> None:
+    from dragoman.llm import licenses
+
+    @query("op8_license_scan", licenses.twin_sql())
+    def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return licenses.found_licenses(table(spark, sf_dir, "documents"))
+
+
+_register_op8()
