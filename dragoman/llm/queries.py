@@ -115,3 +115,9 @@ def _register_op8() -> None:
 
 
 _register_op8()
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import paragraphs
+    return paragraphs.duplicates(spark, table(spark, sf_dir, "documents"))
