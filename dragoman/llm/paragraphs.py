@@ -118,12 +118,16 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
 _SALTS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(_A))
 
 
-def band_keys(shingle_hashes: np.ndarray) -> np.ndarray:
-    least = np.array([mix(shingle_hashes ^ s).min() for s in _SALTS], np.uint64).reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(_A)
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """Band keys of several shingle sets: sets x bands. All hash functions are applied to all sets at once."""
+    joined, starts = np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])[:-1]]
+    step = max(1, (1 << 20) // len(joined))  # hash functions at once, so that long texts stay within memory
+    least = np.concatenate([np.minimum.reduceat(mix(joined[None, :] ^ _SALTS[k:k + step, None]), starts, axis=1) for k in range(0, len(_SALTS), step)])
+    least = least.reshape(BANDS, ROWS, len(sets))
+    key = np.repeat((np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(_A))[:, None], len(sets), axis=1)
     for k in range(ROWS):
         key = mix(key * np.uint64(_B) + least[:, k])
-    return key
+    return key.T
 
 
 def paragraphs(text: str, words=None) -> list[tuple[int, int, np.ndarray]]:
@@ -149,9 +153,14 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(at):
                 key, first = np.unique(_runs(hashes, at, at + RUN_WORDS, _WORDS), return_index=True)
                 parts.append((key, np.zeros(len(key)), np.full(len(key), doc), starts[at[first]], ends[at[first] + RUN_WORDS - 1], key))
-            for start, end, inner in paragraphs(text, words):
-                content = _runs(inner, np.array([0]), np.array([len(inner)]), _WORDS)
-                parts.append((band_keys(shingles(inner)), np.ones(BANDS), np.full(BANDS, doc), np.full(BANDS, start), np.full(BANDS, end), np.repeat(content, BANDS)))
+            found = paragraphs(text, words)
+            if found:
+                size = np.array([len(inner) for _, _, inner in found])
+                edge = np.r_[0, np.cumsum(size)]
+                content = _runs(np.concatenate([inner for _, _, inner in found]), edge[:-1], edge[1:], _WORDS)
+                n = len(found) * BANDS
+                parts.append((band_keys([shingles(inner) for _, _, inner in found]).ravel(), np.ones(n), np.full(n, doc), np.repeat([x[0] for x in found], BANDS),
+                              np.repeat([x[1] for x in found], BANDS), np.repeat(content, BANDS)))
         if parts:
             c = [np.concatenate(x) for x in zip(*parts)]
             yield pa.RecordBatch.from_arrays([pa.array(_signed(c[0])), pa.array(c[1].astype(np.int8)), pa.array(c[2].astype(np.int64)), pa.array(c[3].astype(np.int32)),
