@@ -24,7 +24,7 @@ RUN_WORDS = 40
 WINNOW = MIN_WORDS + 1 - RUN_WORDS      # of so many neighbouring starts one is chosen
 SIMILARITY, RECALL = 0.8, 0.99
 #: Distinct paragraphs of a bucket that are compared pair by pair; larger buckets are dealt into groups.
-GROUP = 32
+GROUP = 8
 
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F | 1
 _M64 = (1 << 64) - 1
