@@ -1,4 +1,4 @@
-"""Plan shaping: evaluate once, spread small inputs, cut lineage through a written table."""
+"""Plan shaping: evaluate once, cut lineage through a written table."""
 
 from __future__ import annotations
 
@@ -21,17 +21,6 @@ def bind_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] =
     return once.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in columns])
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy row work every core when a scan has fewer splits than there are cores.
-
-    A large table has more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def through_table(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -84,12 +84,17 @@ def plan_slots(allocated: DataFrame, request_id: str = "request_id") -> DataFram
                         iso.alias("language_iso"), resource.alias("resource_class"))
 
 
-def round_robin(calls: DataFrame, models: list[str], group: str = "provider", seq: str = "call_id",
+def round_robin(calls: DataFrame, models: DataFrame, group: str = "provider", seq: str = "call_id",
                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Assign models in turn by the call's number within its group."""
+    """Assign each group's own models in turn by the call's number within its group.
+
+    ``models`` has the group column, ``position`` and ``model``: a few rows for each group.
+    Calls of a group without models get null.
+    """
+    lists = models.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "model"))), lambda m: m["model"]).alias("_models"))
     numbered = ranked(calls, [group], seq_bucket(F.col(seq), rows_per_bucket), [F.col(seq)], out="call_no")
-    listed = F.array(*[F.lit(m) for m in models])
-    return numbered.withColumn("assigned", F.get(listed, ((F.col("call_no") - 1) % len(models)).cast("int")))
+    return numbered.join(F.broadcast(lists), group, "left").withColumn(
+        "assigned", F.get("_models", ((F.col("call_no") - 1) % F.size("_models")).cast("int"))).drop("_models")
 
 
 def rate_plan(requests: DataFrame, models: DataFrame, budget_s: float = dims.CYCLE_SECONDS, seq: str = "request_no",

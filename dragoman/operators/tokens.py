@@ -81,8 +81,8 @@ def _independent(top: list[tuple[int, int, int]], complete: bool, new_ids: dict)
                 break
         picked.append((left, right, freq))
         used |= {left, right}
-        if (left, right) in new_ids:  # the merged spelling exists already as another symbol
-            used.add(new_ids[left, right])
+        if (left, right) in new_ids:
+            break  # the spelling exists already: pairs of its symbol gain counts and may overtake
     return picked
 
 

@@ -237,13 +237,16 @@ def w6_first(spark, sf_dir):
     return progress.first_exhaustion(views.api_calls(spark, sf_dir), views.call_models(spark), rows_per_bucket=1000).drop("ts")
 
 
-_GROQ = [m for p, m, *_ in dims.MODELS if p == "groq"]
+_OWN = {p: [m for q, m, *_ in dims.MODELS if q == p] for p in dict.fromkeys(p for p, *_ in dims.MODELS)}
+_TURN = "(row_number() OVER (PARTITION BY provider ORDER BY call_id) - 1)"
 
 
 @query("w5_round_robin", with_views(
-    f"SELECT call_id, provider, [{', '.join(lit(m) for m in _GROQ)}][((row_number() OVER (PARTITION BY provider ORDER BY call_id) - 1) % 3 + 1)::INT] AS assigned FROM api_calls", "api_calls"))
+    "SELECT call_id, provider, CASE provider " + " ".join(
+        f"WHEN {lit(p)} THEN [{', '.join(lit(m) for m in ms)}][({_TURN} % {len(ms)} + 1)::INT]" for p, ms in _OWN.items()) + " END AS assigned FROM api_calls", "api_calls"))
 def w5(spark, sf_dir):
-    return planning.round_robin(views.api_calls(spark, sf_dir), _GROQ, rows_per_bucket=1000).select("call_id", "provider", "assigned")
+    return planning.round_robin(views.api_calls(spark, sf_dir), spark.createDataFrame(
+        [(p, k, m) for p, ms in _OWN.items() for k, m in enumerate(ms)], "provider string, position int, model string"), rows_per_bucket=1000).select("call_id", "provider", "assigned")
 
 
 # --- planning ---------------------------------------------------------------------------------------
@@ -492,6 +495,14 @@ def event_stream(spark, sf_dir):
     return jobs.file_stream(spark, sf_dir, views.table(spark, sf_dir, "events").schema, "events*.parquet")
 
 
+def late_events(spark, sf_dir):
+    """The events in files by part of the month, the latest days first, a file for each micro-batch."""
+    folder, events = shared_folder(spark, "late-events"), views.table(spark, sf_dir, "events")
+    for low, high in ((21, 31), (11, 20), (1, 10)):
+        events.filter(F.dayofmonth("ts").between(low, high)).write.mode("append").parquet(folder)
+    return jobs.file_stream(spark, folder, events.schema, max_files=1)
+
+
 @query("x1_classify_stream", with_views(
     "SELECT msg_id, g.gate_rule, CASE WHEN gate_rule IS NOT NULL THEN 'noise_gibberish' ELSE label END AS label, CASE WHEN gate_rule IS NOT NULL THEN '1' ELSE tier END AS tier, "
     "CASE WHEN gate_rule IS NOT NULL THEN 'drop' ELSE action END AS action FROM routed JOIN gate g USING (msg_id)", "routed", "gate"))
@@ -526,7 +537,7 @@ def x3(spark, sf_dir):
 @query("x4_usage_stream", with_views(
     "SELECT strftime(ts, '%Y-%m-%d') AS day, provider, model, count(*) AS calls, count_if(NOT ok) AS failed FROM api_calls GROUP BY ALL", "api_calls"))
 def x4(spark, sf_dir):
-    calls = views.api_calls(spark, sf_dir, event_stream(spark, sf_dir))
+    calls = views.api_calls(spark, sf_dir, late_events(spark, sf_dir))
     return jobs.run_latest(jobs.usage_stream(calls), "usage", ["day", "provider", "model"])
 
 
@@ -535,7 +546,7 @@ def x4(spark, sf_dir):
     "round(avg(value), 6) AS avg_ms, count_if(matched) AS covered FROM cascade GROUP BY ALL", "cascade"))
 def x5(spark, sf_dir):
     from dragoman.operators.cascade import regex_classify
-    rows = regex_classify(views.utterances(spark, sf_dir, event_stream(spark, sf_dir))).select(
+    rows = regex_classify(views.utterances(spark, sf_dir, late_events(spark, sf_dir))).select(
         "ts", F.when(F.col("matched"), "covered").otherwise("open").alias("classifier"), "matched",
         F.col("value").alias("latency_ms"))
     rolled = jobs.run_latest(jobs.latency_stream(rows), "latency", ["window_start", "classifier"])

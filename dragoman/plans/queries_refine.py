@@ -331,9 +331,9 @@ def u1(spark, sf_dir):
 
 
 @query("t3_cap_rows", with_views(
-    "SELECT source_no, row_no, text FROM external ORDER BY source_no, row_no LIMIT 300", "external"))
+    "SELECT source_no, row_no, text FROM external ORDER BY source_no, row_no LIMIT 100", "external"))
 def t3(spark, sf_dir):
-    return answers.cap_rows(answers.ingest_external(views.external_questions(spark, sf_dir)), 300).select(
+    return answers.cap_rows(answers.ingest_external(views.external_questions(spark, sf_dir)), 100).select(
         "source_no", "row_no", "text")
 
 

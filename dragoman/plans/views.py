@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dragoman import dims
-from dragoman.functions.plan import bind_once, spread_small
+from dragoman.functions.plan import bind_once
 from dragoman.functions.text import hash_bucket
 from dragoman.operators import cascade
 from dragoman.operators.planning import language_of
@@ -45,12 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, spread over the cores when the table is small: their texts are long."""
-    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "events"), "event_id")
+    return table(spark, sf_dir, "events")
 
 
 def _case(number: Column, values: list[Column]) -> Column:
@@ -161,6 +160,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("body").alias("text"))).alias("parts")).alias("content"))).alias("candidates")))
     r = F.col("response_id")
     envelope = (F.when(r % 11 == 5, '{"error": {}}').when(r % 11 == 6, "not json at all")
+                .when(r % 11 == 7, F.concat(F.when(F.col("provider") == "gemini", parts).otherwise(chat), F.lit(" xx")))
                 .when(F.col("provider") == "gemini", parts).otherwise(chat))
     return raw.select("response_id", "provider", envelope.alias("envelope"))
 

@@ -174,7 +174,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         f"class_label AS intent_class_label, class_tier AS tier, lower({strip('''json_extract_string(item, '$.language_iso')''')}) AS language_iso, "
         "json_extract_string(item, '$.resource_class') AS resource_class FROM verified WHERE status = 'valid'"),
     "envelopes": (["raw_responses"],
-        "SELECT response_id, provider, CASE WHEN response_id % 11 = 5 THEN '{\"error\": {}}' WHEN response_id % 11 = 6 THEN 'not json at all' "
+        "SELECT response_id, provider, CASE WHEN response_id % 11 = 5 THEN '{\"error\": {}}' WHEN response_id % 11 = 6 THEN 'not json at all' WHEN response_id % 11 = 7 THEN to_json({'choices': [{'message': {'content': body}}]})::VARCHAR || ' xx' "
         "WHEN provider = 'gemini' THEN to_json({'candidates': [{'content': {'parts': [{'text': body}]}}]})::VARCHAR "
         "ELSE to_json({'choices': [{'message': {'content': body}}]})::VARCHAR END AS envelope FROM raw_responses"),
     "api_calls": ([], "SELECT event_id AS call_id, ts, " + "CASE event_type " + " ".join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,11 +42,17 @@ def apply_runtime_settings(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the checkpoint folder the cluster names; make one only where none is set (tests)."""
+    """Use the checkpoint folder the cluster names; make one only for a local master (tests).
+
+    A folder of the driver's machine is not shared with executors, so a cluster without a
+    named folder is refused.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="dragoman-ckpt-"))
 
 

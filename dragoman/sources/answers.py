@@ -14,12 +14,20 @@ PARTS_PATH = "$.candidates[0].content.parts[0].text"
 # fixed values: text field and name of the external question sets, by source number
 EXTERNAL_SOURCES = [(1, "question", "LibrAI/do-not-answer"), (2, "prompt", "walledai/AdvBench")]
 MIN_EXTERNAL_LENGTH = 10
+#: Follows an envelope that is one whole JSON value.
+END_MARK = "end of envelope"
 
 
 def extract_content(envelope: Column, provider: Column) -> Column:
-    """Answer text of the provider's envelope, null when it is broken or has no answer."""
-    return F.when(provider == "gemini", F.get_json_object(envelope, PARTS_PATH)).otherwise(
-        F.get_json_object(envelope, CHAT_PATH))
+    """Answer text of the provider's envelope, null when it is broken or has no answer.
+
+    The whole envelope must be JSON: text after it breaks it, as it does for a strict parser.
+    """
+    # the parser stops at the end of the first value, so the value is read as the first of two
+    pair = F.try_parse_json(F.concat(F.lit("["), envelope, F.lit(f', "{END_MARK}"]')))
+    whole = F.coalesce(F.try_variant_get(pair, "$[1]", "string") == END_MARK, F.lit(False))
+    return F.when(whole & (provider == "gemini"), F.get_json_object(envelope, PARTS_PATH)).when(
+        whole, F.get_json_object(envelope, CHAT_PATH))
 
 
 def ingest_external(questions: DataFrame, sources: Sequence[tuple] = EXTERNAL_SOURCES) -> DataFrame:

@@ -146,3 +146,22 @@ def test_progress_bar_and_quota(spark):
     assert status["2024-01-01", "m"]["exhausted"] and status["2024-01-01", "m"]["stop_at"] == 19 and not status["2024-01-01", "m"]["provider_stopped"]
     assert status["2024-01-02", "idle"]["calls"] == 0 and not status["2024-01-02", "free"]["exhausted"]
     assert [r["call_id"] for r in progress.first_exhaustion(calls, models, rows_per_bucket=7).orderBy("day").collect()] == [18, 58]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+
+    from dragoman.session import ensure_checkpoint_dir
+
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: Conf)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session)

@@ -33,3 +33,12 @@ def test_sliding_latency_windows(spark, tmp_path):
     stream = jobs.file_stream(spark, str(tmp_path / "in"), rows.schema)
     got = jobs.run_latest(jobs.latency_stream(stream, "1 hour", "30 minutes"), "sliding", ["window_start", "classifier"])
     assert {r["window_start"][11:]: r["avg_ms"] for r in got.collect()} == {"23:30": 1.0, "00:00": 2.0, "00:30": 4.0, "01:00": 5.0}
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    days = spark.range(1000).select(F.timestamp_seconds(1704067200 + F.col("id") * 2600).alias("ts"), F.lit("p").alias("provider"), F.lit("m").alias("model"), F.lit(True).alias("ok"))
+    for low, high in ((21, 31), (11, 20), (1, 10)):  # the latest first, a file for each micro-batch
+        days.filter(F.dayofmonth("ts").between(low, high)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), days.schema, max_files=1)
+    got = jobs.run_latest(jobs.usage_stream(stream), "late", ["day", "provider", "model"])
+    assert got.agg(F.sum("calls")).first()[0] == 1000

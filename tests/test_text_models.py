@@ -59,3 +59,9 @@ def test_two_heads_learn_the_templates(spark, sf_dir):
     assert scores["accuracy_intent"] > 0.9 and scores["macro_f1_intent"] > 0.85 and scores["loss"] > 0
     empty = models.score_two_head(model, spark.createDataFrame([(1, "")], "id int, text string")).first()
     assert len(empty["la"]) == 22
+
+
+def test_a_round_ends_after_a_spelling_reached_twice():
+    from dragoman.operators.tokens import _independent
+    top = [(1, 2, 100), (5, 6, 60), (9, 7, 50), (2, 7, 25)]
+    assert _independent(top, True, {(1, 2): 9}) == [(1, 2, 100)]
