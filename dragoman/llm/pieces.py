@@ -67,6 +67,7 @@ class Pieces:
         for p, k in self.id.items():
             self.ends.add_word(p, k)
         self.ends.make_automaton()
+        self.size = [len(p) for p in self.piece]
         self.pairs: dict[tuple[int, int], bool] = {}
         self.own: dict[int, bool] = {}
         self.words = Words(lambda word: self._pack(SPACE + word))
@@ -90,25 +91,26 @@ class Pieces:
         return self.own[token]
 
     def compatible(self, left: int, right: int) -> bool:
-        got = self.pairs.get((left, right))
-        if got is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            a, b = self.piece[left], self.piece[right]
-            got = self.pairs[left, right] = self.merged(a + b) == [a, b]
+        """Whether the two tokens stand next to each other in an encoding; kept for the next time."""
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        a, b = self.piece[left], self.piece[right]
+        got = self.pairs[left, right] = self._is_own(right) and self.merged(a + b) == [a, b]
         return got
 
     def table(self, text: str) -> list[int]:
         """At k the last token of the encoding of text[:k + 1]; -1 for a character without a piece."""
-        last, piece, at = [-1] * len(text), self.piece, -1
+        last, size, pairs, at = [-1] * len(text), self.size, self.pairs, -1
         for end, token in self.ends.iter(text):
             if end == at:
                 continue  # the longer piece that ends here was the one
-            before = end - len(piece[token])
+            before = end - size[token]
             if before < 0 or last[before] < 0:
                 fits = self._is_own(token)
             else:
-                fits = self.compatible(last[before], token) and self._is_own(token)
+                fits = pairs.get((last[before], token))
+                if fits is None:
+                    fits = self.compatible(last[before], token)
             if fits:
                 last[end], at = token, end
         return last
@@ -149,6 +151,17 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
+_CODERS: dict[bytes, Pieces] = {}
+
+
+def coder_of(model: bytes) -> Pieces:
+    """The coder of a model; a worker keeps one, and its words and pairs, from task to task."""
+    if model not in _CODERS:
+        _CODERS.clear()
+        _CODERS[model] = Pieces(model)
+    return _CODERS[model]
+
+
 def round_trip(spark: SparkSession, text: Column, model_path: str) -> Column:
     """Struct (ids binary, decoded string) of whole texts, with begin and end ids.
 
@@ -160,7 +173,7 @@ def round_trip(spark: SparkSession, text: Column, model_path: str) -> Column:
 
     @F.pandas_udf("ids binary, decoded string")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = Pieces(model.value)
+        coder = coder_of(model.value)
         for texts in batches:
             ids = [coder.encode(t) for t in texts]
             yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(x) for x in ids]})
