@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,8 +67,33 @@ def size_bounds(n: int, min_dice: float) -> tuple[int, int]:
     return math.ceil(n * ratio - 1e-9), math.floor(n / ratio + 1e-9)
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda w: w != "")
+def anchor_bigrams(templates: list[list[str]], min_dice: float) -> list[tuple[str, str]]:
+    """Word bigrams of which every unit at ``min_dice`` with a template (its bigrams) holds one.
+
+    Such a unit shares min_dice * (n + b) / 2 bigrams or more, n being at least the lower size bound, so it lacks few of
+    the b; any one more than it may lack will do. Those already taken come first, then those with the longest words.
+    """
+    taken: dict[str, None] = {}
+    for bigrams in templates:
+        b = len(bigrams)
+        lacking = b - max(1, math.ceil(min_dice * (size_bounds(b, min_dice)[0] + b) / 2 - 1e-9))
+        order = sorted(bigrams, key=lambda x: (x not in taken, -max(map(len, x.split(" "))), -len(x), x))
+        taken.update(dict.fromkeys(order[:lacking + 1]))
+    return sorted(tuple(x.split(" ")) for x in taken)
+
+
+def _anchored(lowered: Column, anchors: list[tuple[str, str]]) -> Column:
+    """Whether the text may hold an anchor: one of its words is searched first, the pair only where both occur."""
+    by_word: dict[str, list[tuple[str, str]]] = {}
+    for pair in anchors:
+        by_word.setdefault(max(pair, key=len), []).append(pair)
+    has = lambda w: F.contains(lowered, F.lit(w))
+    pairs = lambda held: reduce(or_, [has(min(p, key=len)) & F.rlike(lowered, F.lit(f"{p[0]}[^a-z0-9]+{p[1]}")) for p in held])
+    return reduce(or_, [has(word) & pairs(held) for word, held in sorted(by_word.items())])
+
+
+def _words(lowered: Column) -> Column:
+    return F.filter(F.split(lowered, "[^a-z0-9]+", -1), lambda w: w != "")
 
 
 def _bigrams(words: Column) -> Column:
@@ -94,14 +121,14 @@ def found_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # distinct bigrams are fewer than words, so a unit with fewer words than the least bound is no candidate;
     # a repetitive unit may have many more words than bigrams, so the upper bound waits for the bigrams
     least = max(1, min(a for a, _ in bounds))
-    units = F.split("text", "\n", -1)
-    df = df.select("doc_id", "text", F.posexplode(F.concat(units, F.when(F.size(units) > 1, F.array("text")).otherwise(F.array().cast("array<string>")))).alias("line_no", "unit"),
-                   F.size(units).alias("n_lines")).select("doc_id", F.when(F.col("line_no") < F.col("n_lines"), F.col("line_no")).otherwise(-1).alias("line_no"), "unit")
-    # any unit that shares bigrams with a template holds some template's word pair; a cheap test first
-    df = bind_once(df, {"words": _words(F.col("unit"))}, drop=("unit",)).filter(F.size("words") > least)
     every = sorted({x for _, b in usable for x in b})
-    first = sorted({x.split(" ")[0] for x in every})
-    df = df.filter(F.exists("words", lambda w: w.isin(first)))
+    anchors = anchor_bigrams([b for _, b in usable], min_dice)
+    # a unit's anchor is one of its text too, so most texts end here, before anything is split
+    df = bind_once(df, {"lowered": F.lower("text")}, drop=("text",)).filter(_anchored(F.col("lowered"), anchors))
+    units = F.split("lowered", "\n", -1)
+    df = df.select("doc_id", F.posexplode(F.concat(units, F.when(F.size(units) > 1, F.array("lowered")).otherwise(F.array().cast("array<string>")))).alias("line_no", "unit"),
+                   F.size(units).alias("n_lines")).select("doc_id", F.when(F.col("line_no") < F.col("n_lines"), F.col("line_no")).otherwise(-1).alias("line_no"), "unit")
+    df = bind_once(df.filter(_anchored(F.col("unit"), anchors)), {"words": _words(F.col("unit"))}, drop=("unit",)).filter(F.size("words") > least)
     df = bind_once(df, {"bigrams": _bigrams(F.col("words"))}, drop=("words",))
     df = bind_once(df, {"n": F.size("bigrams"), "shared": F.filter("bigrams", lambda x: x.isin(every))}, drop=("bigrams",)).filter(F.size("shared") > 0)
     scores = []

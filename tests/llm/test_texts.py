@@ -184,6 +184,16 @@ def test_distances_equal_the_definition(spark):
     assert r.word_distance == pytest.approx(distance([24 / 84, 0, 60 / 84], [0.5, 0.2, 0.3]))
 
 
+def test_units_near_a_licence_template_hold_an_anchor():
+    templates = [licenses.template_bigrams(t) for _, t in licenses.TEMPLATES]
+    for min_dice in (0.5, 0.8, 0.95):
+        anchors = {" ".join(pair) for pair in licenses.anchor_bigrams(templates, min_dice)}
+        for bigrams in templates:
+            others = [x for x in bigrams if x not in anchors]  # the most that a unit without an anchor shares
+            low = max(licenses.size_bounds(len(bigrams), min_dice)[0], len(others))
+            assert 2 * len(others) / (low + len(bigrams)) < min_dice
+
+
 def test_quality_and_licences_of_odd_rows(spark, odd_docs, no_docs):
     rows = quality.judged(odd_docs, quality.references(odd_docs)).collect()
     assert len(rows) == 8 and not any(r.kept for r in rows)
