@@ -13,8 +13,11 @@ or a prefix of a hash for a hash order.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 ROWS_PER_BUCKET = 100_000
+#: Neighbouring bucket numbers of one block; sparse numbers make blocks of fewer buckets.
+BUCKETS_PER_BLOCK = 10_000
 
 
 def seq_bucket(seq: Column, rows: int = ROWS_PER_BUCKET) -> Column:
@@ -22,14 +25,26 @@ def seq_bucket(seq: Column, rows: int = ROWS_PER_BUCKET) -> Column:
     return F.floor(seq / rows)
 
 
-def _offsets(df: DataFrame, groups: list[str], value: Column) -> DataFrame:
+def _offsets(df: DataFrame, groups: list[str], value: Column, buckets_per_block: int = BUCKETS_PER_BLOCK) -> DataFrame:
+    """Sum of each bucket, of all buckets before it, and of its group, in two levels.
+
+    Numbered buckets are summed inside blocks of neighbouring numbers, and blocks inside the group, so a
+    task holds a block's buckets or a group's blocks. Prefixes of a hash are few and form one block.
+    """
     per_bucket = df.groupBy(*groups, "_bucket").agg(F.sum(value).alias("_bucket_sum"))
+    numbered = not isinstance(per_bucket.schema["_bucket"].dataType, StringType)
+    blocked = per_bucket.withColumn("_block", F.floor(F.col("_bucket") / buckets_per_block) if numbered else F.lit(0).cast("bigint"))
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return per_bucket.select(
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocked.groupBy(*groups, "_block").agg(F.sum("_bucket_sum").alias("_block_sum")).select(
+        *groups, "_block",
+        F.coalesce(F.sum("_block_sum").over(earlier), F.lit(0)).alias("_block_offset"),
+        F.sum("_block_sum").over(whole).alias("_group_sum"))
+    before = Window.partitionBy(*groups, "_block").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return blocked.join(blocks, [*groups, "_block"]).select(
         *groups, "_bucket",
-        F.coalesce(F.sum("_bucket_sum").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_bucket_sum").over(whole).alias("_group_sum"), "_bucket_sum",
+        (F.col("_block_offset") + F.coalesce(F.sum("_bucket_sum").over(before), F.lit(0))).alias("_offset"),
+        "_group_sum", "_bucket_sum",
     )
 
 

@@ -226,7 +226,7 @@ def a5(spark, sf_dir):
 @query("w6_usage_running", with_views(
     "SELECT call_id, provider, model, strftime(ts, '%Y-%m-%d') AS day, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), model ORDER BY call_id) AS used FROM api_calls", "api_calls"))
 def w6(spark, sf_dir):
-    return progress.usage_running(views.api_calls(spark, sf_dir), rows_per_bucket=1000).select(
+    return progress.usage_running(views.api_calls(spark, sf_dir)).select(
         "call_id", "provider", "model", "day", "used")
 
 
@@ -234,7 +234,7 @@ def w6(spark, sf_dir):
     "SELECT day, provider, model, call_id, used FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), model ORDER BY call_id) AS used "
     f"FROM api_calls JOIN call_models USING (provider, model)) WHERE used = {_STOP}", "api_calls", "call_models"))
 def w6_first(spark, sf_dir):
-    return progress.first_exhaustion(views.api_calls(spark, sf_dir), views.call_models(spark), rows_per_bucket=1000).drop("ts")
+    return progress.first_exhaustion(views.api_calls(spark, sf_dir), views.call_models(spark)).drop("ts")
 
 
 _OWN = {p: [m for q, m, *_ in dims.MODELS if q == p] for p in dict.fromkeys(p for p, *_ in dims.MODELS)}
@@ -246,7 +246,7 @@ _TURN = "(row_number() OVER (PARTITION BY provider ORDER BY call_id) - 1)"
         f"WHEN {lit(p)} THEN [{', '.join(lit(m) for m in ms)}][({_TURN} % {len(ms)} + 1)::INT]" for p, ms in _OWN.items()) + " END AS assigned FROM api_calls", "api_calls"))
 def w5(spark, sf_dir):
     return planning.round_robin(views.api_calls(spark, sf_dir), spark.createDataFrame(
-        [(p, k, m) for p, ms in _OWN.items() for k, m in enumerate(ms)], "provider string, position int, model string"), rows_per_bucket=1000).select("call_id", "provider", "assigned")
+        [(p, k, m) for p, ms in _OWN.items() for k, m in enumerate(ms)], "provider string, position int, model string")).select("call_id", "provider", "assigned")
 
 
 # --- planning ---------------------------------------------------------------------------------------
@@ -319,7 +319,7 @@ def b4(spark, sf_dir):
     names = F.array(*[F.lit(m[1]) for m in dims.MODELS])
     requests = views.table(spark, sf_dir, "events").select(
         F.col("event_id").alias("request_no"), F.get(names, (F.col("event_id") % 15).cast("int")).alias("model"))
-    return planning.rate_plan(requests, dims.dim_model(spark), budget_s=600, rows_per_bucket=1000).select(
+    return planning.rate_plan(requests, dims.dim_model(spark), budget_s=600).select(
         "model", "request_no", "send_at_s")
 
 

@@ -178,7 +178,8 @@ def p12(spark, sf_dir):
     + " AS rc FROM routed r LEFT JOIN cache c ON c.text = r.text)", "routed", "cache"))
 def p13(spark, sf_dir):
     _, resource = planning.language_of(F.lit(0), hash_bucket(F.col("user_id")))
-    rows = through_table(routed(spark, sf_dir).withColumn("resource_class", resource), "routed")
+    routed_rows = routed(spark, sf_dir).withColumn("resource_class", resource)
+    rows = through_table(routed_rows.select("msg_id", "text", "label", "tier", "action", "resource_class"), "routed")
     return routing.dispatch(rows, views.cache(spark, sf_dir)).select(
         "msg_id", "action", "response", "reason", "source", "handler")
 
@@ -281,7 +282,7 @@ def w2(spark, sf_dir):
     mean = sizes.agg(F.avg("n")).scalar()
     remaining = sizes.select("intent_class_id", F.round(
         F.ceil(mean / 2) * (F.col("intent_class_id") % 4) / 3).cast("bigint").alias("remaining"))
-    return split.quota_cap(rows, remaining, "response_id", ["response_id", "item_no"], rows_per_bucket=100).select(
+    return split.quota_cap(rows, remaining, "response_id", ["response_id", "item_no"]).select(
         "response_id", "item_no", "intent_class_id")
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dragoman.functions.ranking import exact_percentiles, ranked, running_total, seq_bucket
+from dragoman.functions.ranking import _offsets, exact_percentiles, ranked, running_total, seq_bucket
 from dragoman.functions.skew import salted_left_join
 from dragoman.operators import split
 
@@ -32,6 +32,26 @@ def test_ranks_and_totals_are_exact_across_buckets(skewed):
     assert {r["seq"]: r["running"] for r in sums} == want_sum
 
 
+@pytest.mark.parametrize("spacing", [1, 97_003])
+def test_offsets_in_two_levels_hold_few_buckets_a_task(skewed, spacing):
+    """Dense and sparse numbers: offsets equal the plain running sum, whatever the size of a block."""
+    rows, df = skewed
+    cut = df.withColumn("_bucket", F.floor(F.col("seq") * spacing / 10))
+    plain, before, totals = {}, {}, {}
+    for seq, g, v in sorted(rows):
+        plain.setdefault((g, seq * spacing // 10), before.get(g, 0))
+        before[g] = before.get(g, 0) + v
+        totals[g] = totals.get(g, 0) + v
+    for size in (3, 50, 10_000):
+        got = _offsets(cut, ["g"], F.col("v"), size).collect()
+        assert {(r["g"], r["_bucket"]): r["_offset"] for r in got} == plain
+        assert all(r["_group_sum"] == totals[r["g"]] for r in got)
+        per_block = {}
+        for r in got:
+            per_block[r["g"], r["_bucket"] // size] = per_block.get((r["g"], r["_bucket"] // size), 0) + 1
+        assert max(per_block.values()) <= size
+
+
 def test_rank_limit_keeps_exactly_the_first_rows(skewed):
     rows, df = skewed
     capped = ranked(df.withColumn("room", F.when(F.col("g") == "hot", 123).otherwise(7)), ["g"],
