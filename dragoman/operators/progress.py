@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
 from dragoman.functions.ranking import ROWS_PER_BUCKET, ranked, seq_bucket
 from dragoman.functions.text import thousands, utc_day
 
 
-def class_counts(before: DataFrame, after: DataFrame, class_id: str = "class_id") -> DataFrame:
-    """Examples per class before and after filtering, zero classes included."""
-    intents = dims.dim_intent(before.sparkSession).select("class_id", "label")
-    # one pass over each side; 22 rows each after the map-side combine
-    b = before.groupBy(F.col(class_id).alias("class_id")).agg(F.count(F.lit(1)).alias("before"))
-    a = after.groupBy(F.col(class_id).alias("class_id")).agg(F.count(F.lit(1)).alias("after"))
-    filled = intents.join(b, "class_id", "left").join(a, "class_id", "left").na.fill(0, ["before", "after"])
+def class_counts(examples: DataFrame, kept: Column, class_id: str = "class_id") -> DataFrame:
+    """Examples per class before and after filtering by ``kept``, zero classes included; one pass."""
+    intents = dims.dim_intent(examples.sparkSession).select("class_id", "label")
+    per = examples.groupBy(F.col(class_id).alias("class_id")).agg(
+        F.count(F.lit(1)).alias("before"), F.count_if(kept).alias("after"))
+    filled = intents.join(per, "class_id", "left").na.fill(0, ["before", "after"])
     return filled.withColumn("removed", F.col("before") - F.col("after"))
 
 

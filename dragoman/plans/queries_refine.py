@@ -364,7 +364,8 @@ def w4(spark, sf_dir):
     "(SELECT count(*) FROM filtered f WHERE f.class_id = d.class_id) AS after, (SELECT count(*) FROM examples e WHERE e.class_id = d.class_id) - "
     "(SELECT count(*) FROM filtered f WHERE f.class_id = d.class_id) AS removed FROM dim_intent d", "filtered", "dim_intent"))
 def a1(spark, sf_dir):
-    return progress.class_counts(loaded(spark, sf_dir), filtered(spark, sf_dir))
+    rows = filters.with_token_count(loaded(spark, sf_dir))
+    return progress.class_counts(rows, filters.enough_tokens(F.col("n_tokens")))
 
 
 @query("a2_progress", with_views(
