@@ -115,17 +115,15 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
     return np.unique(_runs(hashes, starts, starts + size, _WORDS))
 
 
-_SALTS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(_A))
-
-
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+def band_keys(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """Band keys of several shingle sets: sets x bands. All hash functions are applied to all sets at once."""
+    salts = mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(_A))
     joined, starts = np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])[:-1]]
     step = max(1, (1 << 20) // len(joined))  # hash functions at once, so that long texts stay within memory
-    least = np.concatenate([np.minimum.reduceat(mix(joined[None, :] ^ _SALTS[k:k + step, None]), starts, axis=1) for k in range(0, len(_SALTS), step)])
-    least = least.reshape(BANDS, ROWS, len(sets))
-    key = np.repeat((np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(_A))[:, None], len(sets), axis=1)
-    for k in range(ROWS):
+    least = np.concatenate([np.minimum.reduceat(mix(joined[None, :] ^ salts[k:k + step, None]), starts, axis=1) for k in range(0, len(salts), step)])
+    least = least.reshape(bands, rows, len(sets))
+    key = np.repeat((np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(_A))[:, None], len(sets), axis=1)
+    for k in range(rows):
         key = mix(key * np.uint64(_B) + least[:, k])
     return key.T
 
