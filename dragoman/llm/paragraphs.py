@@ -15,16 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from dragoman.llm import similar
 from dragoman.llm.common import bound_batches, col, through_table
-from dragoman.llm.graph import connected_components
 
 SHINGLE = 5
 MIN_WORDS = 50
 RUN_WORDS = 40
 WINNOW = MIN_WORDS + 1 - RUN_WORDS      # of so many neighbouring starts one is chosen
 SIMILARITY, RECALL = 0.8, 0.99
-#: Distinct paragraphs of a bucket that are compared pair by pair; larger buckets are dealt into groups.
-GROUP = 8
 
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F | 1
 _M64 = (1 << 64) - 1
@@ -165,9 +163,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(c[4].astype(np.int32)), pa.array(_signed(c[5]))], names)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs of paragraph contents (a, b), those with the Jaccard similarity. ``docs`` holds one text for each content's place."""
-    places = pairs.select(F.col("a").alias("content"), F.col("a_at").alias("at")).union(pairs.select(F.col("b").alias("content"), F.col("b_at").alias("at"))).distinct()
+def _grams(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(content, grams): the shingles of paragraph contents. ``places`` (content, at) names one text and start for each, ``docs`` holds the texts."""
     wanted = places.groupBy("at.doc_id").agg(F.collect_set(F.struct("at.start", "content")).alias("wanted"))  # a text's own paragraphs
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +175,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in got], pa.int64()), pa.array([s for _, s in got], pa.list_(pa.int64()))], ["content", "grams"])
     grams = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(sets, "content long, grams array<long>").dropDuplicates(["content"])
-    grams = through_table(grams, "paragraph-grams")
-    both = pairs.select("a", "b").join(grams.select(F.col("content").alias("a"), F.col("grams").alias("ga")), "a").join(
-        grams.select(F.col("content").alias("b"), F.col("grams").alias("gb")), "b")
-    shared = F.size(F.array_intersect("ga", "gb"))
-    return both.select("a", "b", (shared / (F.size("ga") + F.size("gb") - shared)).alias("jaccard")).filter(F.col("jaccard") >= similarity)
+    return through_table(grams, "paragraph-grams")
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -204,16 +197,9 @@ def duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     # paragraphs: equal contents are one, colliding contents are verified
     bands = units.filter("kind = 1")
     contents = bands.groupBy("key", "content").agg(F.min(at).alias("at"))
-    buckets = contents.groupBy("key").agg(F.count("*").alias("n"), F.min("content").alias("least"), F.min_by("at", "content").alias("least_at")).filter("n > 1")
-    members = through_table(contents.join(buckets, "key").withColumn(
-        "group", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / GROUP))), "buckets")
-    a = members.select("key", "group", F.col("content").alias("a"), F.col("at").alias("a_at"))
-    b = members.select("key", "group", F.col("content").alias("b"), F.col("at").alias("b_at"))
-    within = a.join(b, ["key", "group"]).filter("a < b").select("a", "a_at", "b", "b_at")
-    star = members.filter(F.col("n") > GROUP).filter("least < content").select(F.col("least").alias("a"), F.col("least_at").alias("a_at"), F.col("content").alias("b"), F.col("at").alias("b_at"))
-    pairs = within.union(star).groupBy("a", "b").agg(F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at"))
-    links = _verified(rows.dropDuplicates(["doc_id"]), through_table(pairs, "pairs"), similarity)
-    named = connected_components(links.select("a", "b"))
+    shared = through_table(similar.in_shared_buckets(contents), "buckets")
+    grams = _grams(rows.dropDuplicates(["doc_id"]), shared.groupBy("content").agg(F.min("at").alias("at")))
+    named = similar.components(shared.drop("at"), grams, similarity)
     own = bands.select("content", "doc_id", "start", "end").distinct()
     own = own.join(named.withColumnRenamed("node", "content"), "content", "left").withColumn("cluster_id", F.coalesce("component", "content"))
     own = through_table(own.select("cluster_id", "doc_id", "start", "end"), "paragraphs")

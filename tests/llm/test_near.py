@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
-from dragoman.llm import neardup, similar, simhash
+from dragoman.llm import neardup, paragraphs, similar, simhash
 
 
 def words(rng, n):
@@ -60,3 +60,21 @@ def test_large_buckets_lose_no_pair(spark):
         got = {r.node: r.component for r in similar.components(similar.in_shared_buckets(members), table, 0.8, block=block).collect()}
         assert [got.get(k, k) for k in range(len(sets))] == label
     assert len(set(label)) == 90
+
+
+def test_paragraphs_of_a_large_family_find_their_partners(spark):
+    rng = random.Random(11)
+    template, texts = words(rng, 120), []
+    for _ in range(60):  # about 0.7 from each other
+        own = list(template)
+        for at in rng.sample(range(5, 115), 2):
+            own[at] = words(rng, 1)[0] + "x"
+        twin = list(own)
+        for at in rng.sample(range(5, 115), 2):
+            twin[at] = words(rng, 1)[0] + "y"
+        texts += [" ".join(own), " ".join(twin)]
+    label = brute([grams(t) for t in texts])
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    whole = [r for r in paragraphs.duplicates(spark, docs).collect() if r.end - r.start == len(texts[r.doc_id])]
+    assert {(r.doc_id, r.kept_doc_id) for r in whole} == {(k, x) for k, x in enumerate(label) if x != k}
+    assert len(whole) > 40
