@@ -20,13 +20,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs, as those of [0-9a-f]+ with 16 characters or more
 KINDS = ("assign", "access", "hex", "costly")
 
-#: A credential's place: a name, a separator, and a quoted or bare value.
+#: A credential's place: a name, a separator, and a quoted or bare value. Word characters and hyphens may stand around the
+#: credential word; the short words end where letters end or capitals begin, so that "author" and "bypass" are none. A run of
+#: name characters is tried at its start only and never given back, so matching is linear.
 CONTEXT = re.compile(
-    r"(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|auth|private)[_\x20-]?key|auth))"
+    r"(?a:(?<![\w-])(?=[\w-]*?(?:(?i:pass(?:word|wd|phrase|code)|secret(?!ar)|token(?!i[sz])|credential|(?:api|access|auth|private)[_\x20-]?key)"
+    r"|(?:(?<![A-Za-z])(?i:pass|pwd|auth)|(?<=[a-z])(?:Pass|Pwd|Auth))(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z]))))"
+    r"(?:[\w-]++\x20(?=(?i:key)(?![A-Za-z])))?[\w-]++)"
     r"[\"']?\x20{0,3}(?:=>|:=|=|:)\x20{0,3}(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'<>,;]+))")
 MIN_VALUE = 8
-#: Decimal logarithm of the guesses from which a value counts as secret.
-MIN_COST = 10.0
+#: Decimal logarithm of the guesses from which a value counts as secret: that of ``MIN_VALUE`` characters without a pattern.
+MIN_COST = 8.0
 
 # fixed values: common password words, the most common first
 WORDS = """
