@@ -395,12 +395,12 @@ def n1_round(spark, sf_dir):
 
 @query("n1_bpe_train")
 def n1(spark, sf_dir):
-    return tokens.bpe_train(views.documents(spark, sf_dir), merges=24)[1]
+    return tokens.bpe_train(views.documents(spark, sf_dir))[1]
 
 
 @query("n2_bpe_encode")
 def n2(spark, sf_dir):
-    merges, vocabulary = tokens.bpe_train(views.documents(spark, sf_dir), merges=12)
+    merges, vocabulary = tokens.bpe_train(views.documents(spark, sf_dir))
     return tokens.bpe_encode(views.documents(spark, sf_dir), merges, tokens.vocabulary_map(vocabulary)).select(
         "doc_id", F.size("ids").alias("n_ids"), F.md5(F.array_join("ids", ",")).alias("ids_md5"))
 
@@ -464,7 +464,7 @@ def _fit(spark, sf_dir):
     rows = through_table(filtered(spark, sf_dir), "filtered")
     parts = stratified_split(rows, "example_id", "class_id")
     train = parts.filter(F.col("split") == "train")
-    return models.train_two_head(train, word_features=1 << 10, char_features=1 << 11, max_iter=15), parts
+    return models.train_two_head(train), parts
 
 
 @query("n4_train_two_head")
