@@ -121,3 +121,48 @@ _register_op8()
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dragoman.llm import paragraphs
     return paragraphs.duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_in_middle", r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+     u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS us,
+                  [('0x' || substr(h, 8 * k + 1, 8))::BIGINT for k in range(4)] AS d FROM t),
+     c AS (SELECT *, len(us) AS n, least(d[1] % (len(us) + 1), d[2] % (len(us) + 1)) AS a, greatest(d[1] % (len(us) + 1), d[2] % (len(us) + 1)) AS b,
+                  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+                       WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+     s AS (SELECT *, array_to_string(us[1:a], '') AS p, array_to_string(us[a + 1:b], '') AS m, array_to_string(us[b + 1:], '') AS x FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM s""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import fim
+    docs = table(spark, sf_dir, "documents")
+    key = F.concat(F.lit("1:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    got = docs.select("doc_id", fim.transform(F.col("text"), key).alias("got"))
+    return got.select("doc_id", "got.n", "got.form", "got.prefix_chars", "got.middle_chars", F.sha2("got.output", 256).alias("output_sha256"),
+                      F.sha2(fim.restore(F.col("got.output"), F.col("got.form")), 256).alias("restored_sha256"))
+
+
+_ESCAPE = r"regexp_replace(coalesce({}, ''), '([<\[]\\*)(/?(?:s|INST|PART|IMG|AUDIO|DOC|FILE)[>\]])', '\1\\\2', 'g')"
+
+
+@query("op13_chat_format", f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
+     e AS (SELECT *, 20 + length({_ESCAPE.format('role')}) + length({_ESCAPE.format('text')}) AS size,
+                  role || chr(10) || text || chr(10) AS line, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(line, '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sum(length(loss))::BIGINT AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import chat
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema))
+    back = chat.read_back(chat.formatted(rows.withColumn("parts", chat.text_parts(F.col("text")))))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
