@@ -19,6 +19,8 @@ TURN, BODY, END, PART = "<s>[INST]", "[/INST]", "</s>", "[PART]"
 PLACEHOLDERS = {"image": "[IMG]", "audio": "[AUDIO]", "document": "[DOC]"}
 #: Placeholder of an attachment of any other type; it counts one token.
 OTHER = "[FILE]"
+#: Stands for an empty text while a body is read back; never written.
+EMPTY = "[/PART]"
 TEXT = "text"
 PARTS = "array<struct<type string, text string, ref string, width int, height int, seconds double, pages int>>"
 #: Tokens of an attachment: image patches of so many pixels a side, audio frames a second, tokens of a page.
@@ -128,19 +130,13 @@ def body_parts(body: Column) -> Column:
 
     An empty body is one empty text; an empty text beside a placeholder is not kept.
     """
-    kinds = [*PLACEHOLDERS.values(), OTHER]
-    media = "|".join(k.replace("[", r"\[").replace("]", r"\]") for k in kinds)
-    joint = rf"(?={media}|\[PART\])|(?<={media}|\[PART\])"
+    media = "|".join(k.replace("[", r"\[").replace("]", r"\]") for k in [*PLACEHOLDERS.values(), OTHER, PART, EMPTY])
+    # a text is empty between two separators, and between a separator and the body's end
+    marked = F.when(body == "", EMPTY).otherwise(F.regexp_replace(body, r"(?<=\[PART\])(?=\[PART\]|\z)|^(?=\[PART\])", EMPTY))
+    cut = F.filter(F.split(marked, f"(?={media})|(?<={media})"), lambda x: (x != "") & (x != PART))
     named = lambda x: reduce(lambda c, k: c.when(x == PLACEHOLDERS[k], k), PLACEHOLDERS, F.when(x == OTHER, "other")).otherwise(TEXT)
-    cut = F.when(body == "", F.array(F.lit(""))).otherwise(F.filter(F.split(body, joint), lambda x: x != ""))
-    # two separators in a row, or one at an end, enclose an empty text
-    def kept(x: Column, i: Column) -> Column:
-        empty_here = (x == PART) & ((i == 0) | (F.get(cut, i - 1) == PART))
-        last = (x == PART) & (i == F.size(cut) - 1)
-        return F.when(x == PART, F.concat(F.when(empty_here, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")),
-                                          F.when(last, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))).otherwise(F.array(x))
-    return F.transform(F.flatten(F.transform(cut, kept)), lambda x: F.struct(
-        named(x).alias("type"), F.when(named(x) == TEXT, unescaped(x)).alias("text")))
+    return F.transform(cut, lambda x: F.struct(
+        named(x).alias("type"), F.when(x == EMPTY, "").when(named(x) == TEXT, unescaped(x)).alias("text")))
 
 
 def masked_texts(formatted_bytes: Column, mask: Column) -> Column:
