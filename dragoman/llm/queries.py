@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dragoman.llm.common import table
+from dragoman.llm.common import table, through_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,29 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     loss = F.array_join("loss_texts", "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with one of five faults planted by a hash of ``conv_id:turn``, of which a fault drops the row; nulls are one space."""
+    rows = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(c) for c in ("conv_id", ":", "turn")])
+    rows = rows.withColumn("fault", F.crc32(key) % 20).filter("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       F.explode(copies).alias("copy")).drop("copy")
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dragoman.llm import audit
+    conversations = table(spark, sf_dir, "conversations")
+    pieces = through_table(audit.repaired(damaged(conversations)), "repaired")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    whole = pieces.groupBy("conv_id").agg(*[F.sum(c).alias(c) for c in counts], F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("piece", "audit"))), lambda p: p.audit), "").alias("audit"))
+    found = whole.join(audit.digests(pieces).withColumnRenamed("conv_id", "digest_id"), F.col("conv_id").eqNullSafe(F.col("digest_id")))
+    ids = conversations.select(F.col("conv_id").alias("id")).distinct()
+    return ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
