@@ -1,17 +1,12 @@
-"""Tokenizer statistics and byte-level BPE as Spark jobs."""
+"""Tokenizer statistics and word-level encoding as Spark jobs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
 from dragoman.functions.arrays import fixed_length
 from dragoman.functions.text import py_tokens
-from dragoman.session import ensure_checkpoint_dir
 
 # fixed value: the pre-token pattern of byte-level tokenizers
 PRETOKEN = (r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -25,8 +20,8 @@ def byte_alphabet() -> list[str]:
 
 
 def byte_level_tokens(text: Column) -> Column:
-    """Pre-tokens of a text as an array; a leading space is added as the trainer does."""
-    prefixed = F.when(text.startswith(" "), text).otherwise(F.concat(F.lit(" "), text))
+    """Pre-tokens of a text as an array; a leading space is added as the trainer does, not to an empty text."""
+    prefixed = F.when(text.startswith(" ") | (text == ""), text).otherwise(F.concat(F.lit(" "), text))
     return F.regexp_extract_all(prefixed, F.lit(PRETOKEN), F.lit(0))
 
 
@@ -51,140 +46,6 @@ def pair_counts(words: DataFrame) -> DataFrame:
             .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(F.sum("n").alias("freq")))
 
 
-def byte_words(texts: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct byte-level pre-tokens with their counts.
-
-    The trainer reads line by line, line ends included, so each line gets its own leading
-    space. Counting combines map-side.
-    """
-    lines = texts.select(F.explode(F.split(F.concat(F.col(text), F.lit("\n")), r"(?<=\n)")).alias("line"))
-    tokens = lines.filter(F.col("line") != "").select(F.explode(byte_level_tokens(F.col("line"))).alias("word"))
-    return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _independent(top: list[tuple[int, int, int]], complete: bool, new_ids: dict) -> list[tuple[int, int, int]]:
-    """The leading pairs that one-by-one merging would pick as well, in order.
-
-    Merging (a, b) changes only counts of pairs that hold a or b, and a pair that holds the
-    new symbol occurs no more often than a former pair with a or b did. So the next pair in
-    order is the next merge too, if it shares no symbol with those before it and no pair
-    that does share one has the same count (a tie could go the other way).
-    """
-    picked: list[tuple[int, int, int]] = []
-    used: set[int] = set()
-    for place, (left, right, freq) in enumerate(top):
-        if picked:
-            if left in used or right in used:
-                break
-            tied = [p for p in top[place + 1:] if p[2] == freq]
-            if any(p[0] in used or p[1] in used for p in tied) or (not complete and top[-1][2] == freq):
-                break
-        picked.append((left, right, freq))
-        used |= {left, right}
-        if (left, right) in new_ids:
-            break  # the spelling exists already: pairs of its symbol gain counts and may overtake
-    return picked
-
-
-def bpe_train(texts: DataFrame, merges: int | None = None, text: str = "text", vocab_size: int = dims.VOCAB_SIZE,
-              min_frequency: int = 2, checkpoint_every: int = 4, per_round: int = 256,
-              ) -> tuple[list[tuple[str, str]], DataFrame]:
-    """Learn byte-level BPE merges; returns them in order and the vocabulary ``(token_id, token)``.
-
-    Corpus-sized work happens once: the distinct-word table. Each round counts adjacent pairs
-    over that table, brings back the few most frequent ones, and applies all leading merges
-    that do not touch each other, which is what merging one by one would do. Ties go to the
-    smaller pair of ids. Words are strings of symbol ids, so a merge is one replacement. The
-    table is checkpointed reliably every few rounds. The byte alphabet is what occurs in the
-    corpus; other bytes become ``[UNK]`` when encoding.
-    """
-    spark = texts.sparkSession
-    ensure_checkpoint_dir(spark)
-    # a fixed number of partitions: the adaptive planner would fold a small word table into
-    # one task, and every round below would then run in it
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spelled = byte_words(texts, text).repartition(spread).select(byte_symbols(F.col("word")).alias("symbols"), "n").checkpoint()
-    alphabet = [r["s"] for r in spelled.select(F.explode("symbols").alias("s")).distinct().orderBy("s").collect()]  # <= 256
-    tokens = dict(zip([*dims.SPECIAL_TOKENS, *alphabet], range(len(dims.SPECIAL_TOKENS) + len(alphabet))))
-    ids = F.create_map(*[F.lit(x) for s in alphabet for x in (s, str(tokens[s]))])
-    words = spelled.filter(F.size("symbols") > 1).select(
-        F.concat(F.lit(" "), F.array_join(F.transform("symbols", lambda s: ids[s]), " "), F.lit(" ")).alias("ids"), "n").checkpoint()
-    spelling = {i: t for t, i in tokens.items()}
-    learned: list[tuple[str, str]] = []
-    limit = merges if merges is not None else vocab_size
-    round_no = 0
-    while len(learned) < limit and len(tokens) < vocab_size:
-        split = words.select(F.split(F.btrim("ids"), " ").cast("array<int>").alias("symbols"), "n")
-        rows = pair_counts(split).filter(F.col("freq") >= min_frequency).orderBy(
-            F.desc("freq"), "left", "right").limit(per_round).collect()
-        top = [(r["left"], r["right"], r["freq"]) for r in rows]
-        if not top:
-            break
-        known = {(l, r): tokens[spelling[l] + spelling[r]] for l, r, _ in top if spelling[l] + spelling[r] in tokens}
-        column = F.col("ids")
-        for left, right, _ in _independent(top, len(top) < per_round, known):
-            if len(learned) >= limit or len(tokens) >= vocab_size:
-                break
-            merged = spelling[left] + spelling[right]
-            new_id = tokens.setdefault(merged, len(tokens))
-            spelling[new_id] = merged
-            learned.append((spelling[left], spelling[right]))
-            # look-around keeps the separators, so a repeated symbol merges from left to right
-            column = F.regexp_replace(column, f"(?<= ){left} {right}(?= )", str(new_id))
-        words = words.select(column.alias("ids"), "n")
-        round_no += 1
-        if round_no % checkpoint_every == 0:
-            words = words.filter(F.col("ids").rlike(r"\d \d")).checkpoint()
-    vocabulary = spark.createDataFrame([(i, t) for t, i in tokens.items()], "token_id int, token string")
-    return learned, vocabulary
-
-
-def vocabulary_map(vocabulary: DataFrame, size: int = dims.VOCAB_SIZE) -> dict[str, int]:
-    """Token to id on the driver; a vocabulary has at most its fixed size."""
-    rows = vocabulary.limit(size + 1).collect()
-    if len(rows) > size:
-        raise ValueError(f"vocabulary of more than {size} tokens")
-    return {r["token"]: r["token_id"] for r in rows}
-
-
-def bpe_encode(texts: DataFrame, merges: list[tuple[str, str]], vocabulary: dict[str, int],
-               text: str = "text") -> DataFrame:
-    """Add ``ids``: BPE token ids of each text; unknown symbols become ``[UNK]``.
-
-    Words are split and spelled as bytes in the JVM; only the merge order needs Python.
-    Merges and vocabulary are bounded by the vocabulary size and travel with the task, and
-    a worker encodes a repeated word once, so there is no join on words and no hot word.
-    """
-    ranks = {pair: rank for rank, pair in enumerate(merges)}
-    unknown = vocabulary["[UNK]"]
-
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        @lru_cache(maxsize=65_536)
-        def word_ids(word: str) -> tuple[int, ...]:
-            parts = word.split(" ")
-            while len(parts) > 1:
-                rank, best = min((ranks.get(pair, len(ranks)), pair) for pair in zip(parts, parts[1:]))
-                if rank == len(ranks):
-                    break
-                out, i = [], 0
-                while i < len(parts):
-                    if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                        out.append(parts[i] + parts[i + 1])
-                        i += 2
-                    else:
-                        out.append(parts[i])
-                        i += 1
-                parts = out
-            return tuple(vocabulary.get(p, unknown) for p in parts)
-
-        for batch in batches:
-            yield batch.map(lambda words: [i for w in words for i in word_ids(w)])
-
-    spelled = F.transform(byte_level_tokens(F.col(text)), lambda t: F.array_join(byte_symbols(t), " "))
-    return texts.withColumn("ids", encode(spelled))
-
-
 def word_vocabulary(counts: DataFrame, size: int = dims.VOCAB_SIZE) -> DataFrame:
     """Ids of the most frequent words behind the special tokens: a top-k, then numbering at most ``size`` rows."""
     first = len(dims.SPECIAL_TOKENS)

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession, functions as F
 from dragoman import dims
 from dragoman.functions import arrays
 from dragoman.functions.plan import through_table
-from dragoman.operators import evaluate, language, models, planning, progress, refine, scoring, tokens
+from dragoman.operators import bpe, evaluate, language, models, planning, progress, refine, scoring, tokens
 from dragoman.plans import views
 from dragoman.plans.queries_refine import COUNTS, counts, filtered, loaded, verified, with_flush
 from dragoman.plans.registry import query
@@ -395,16 +395,24 @@ def n1_round(spark, sf_dir):
 
 @query("n1_bpe_train")
 def n1(spark, sf_dir):
-    return tokens.bpe_train(views.documents(spark, sf_dir))[1]
+    return bpe.bpe_train(views.documents(spark, sf_dir))[1]
 
 
 @query("n2_bpe_encode")
 def n2(spark, sf_dir):
-    merges, vocabulary = tokens.bpe_train(views.documents(spark, sf_dir))
-    return tokens.bpe_encode(views.documents(spark, sf_dir), merges, tokens.vocabulary_map(vocabulary)).select(
+    merges, vocabulary = bpe.bpe_train(views.documents(spark, sf_dir))
+    return bpe.bpe_encode(views.documents(spark, sf_dir), merges, bpe.vocabulary_map(vocabulary)).select(
         "doc_id", F.size("ids").alias("n_ids"), F.md5(F.array_join("ids", ",")).alias("ids_md5"))
 
 
+@query("n2_bpe_round_trip", "SELECT doc_id, md5(CASE WHEN text = '' OR starts_with(text, ' ') THEN text ELSE ' ' || text END) AS decoded_md5 FROM documents")
+def n2_round_trip(spark, sf_dir):
+    merges, vocabulary = bpe.bpe_train(views.documents(spark, sf_dir))
+    known = bpe.vocabulary_map(vocabulary)
+    encoded = bpe.bpe_encode(views.documents(spark, sf_dir), merges, known)
+    return encoded.select("doc_id", F.md5(bpe.bpe_decode(F.col("ids"), known)).alias("decoded_md5"))
+
+
 @query("n3_fixed_length",
        f"WITH v AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) + 4 AS id FROM (SELECT * FROM ({_WORDS}) WHERE n >= 2) ORDER BY n DESC, word LIMIT 31995), "
        "w AS (SELECT doc_id, i, ws[i] AS word FROM (SELECT doc_id, list_slice(regexp_extract_all(text, '[^ \\t\\n\\r\\x0b\\x0c]+'), 1, 126) AS ws FROM documents), unnest(range(1, len(ws) + 1)) AS u(i)), "

@@ -5,7 +5,7 @@ import inspect
 import pytest
 
 from dragoman import dims
-from dragoman.operators import models, tokens
+from dragoman.operators import bpe, models
 import __spark_entry__  # noqa: F401  registers the queries
 from dragoman.plans.registry import QUERIES
 
@@ -28,7 +28,7 @@ def caught(monkeypatch, module, name):
 
 @pytest.mark.parametrize("name", ["n1_bpe_train", "n2_bpe_encode"])
 def test_merges_are_not_capped(spark, sf_dir, monkeypatch, name):
-    seen = caught(monkeypatch, tokens, "bpe_train")
+    seen = caught(monkeypatch, bpe, "bpe_train")
     with pytest.raises(Reached):
         QUERIES[name](spark, sf_dir)
     assert seen["merges"] is None and seen["vocab_size"] == dims.VOCAB_SIZE == 32000

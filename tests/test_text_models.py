@@ -1,46 +1,11 @@
-import tempfile
-
-import pytest
 from pyspark.sql import functions as F
 
-from dragoman import dims
-from dragoman.operators import language, models, tokens
+from dragoman.operators import language, models
 from dragoman.operators.split import stratified_split
 from dragoman.plans import views
 from dragoman.plans.queries_refine import filtered
 
 
-@pytest.fixture(scope="module")
-def corpus(spark):
-    lines = ["the other thing  isn't there", "he's here,\nand they're\tthere 12 times", "été naïve 你好 the theme", "aaaa aaa aaaaa the",
-             "  leading space", "mississippi missed the ship's shipping"] * 3
-    return spark.createDataFrame(list(enumerate(lines)), "doc_id int, text string")
-
-
-def test_bpe_equals_the_tokenizers_library(spark, corpus):
-    lib = pytest.importorskip("tokenizers")
-    from tokenizers import models as m, pre_tokenizers, trainers
-    merges, vocabulary = tokens.bpe_train(corpus, merges=60)
-    mine = tokens.vocabulary_map(vocabulary)
-    texts = [r["text"] for r in corpus.collect()]
-    with tempfile.NamedTemporaryFile("w", suffix=".txt", encoding="utf-8", newline="") as f:
-        f.write("".join(t + "\n" for t in texts))
-        f.flush()
-        other = lib.Tokenizer(m.BPE(unk_token="[UNK]"))
-        other.pre_tokenizer = pre_tokenizers.ByteLevel()
-        other.train([f.name], trainers.BpeTrainer(vocab_size=len(mine), special_tokens=dims.SPECIAL_TOKENS, min_frequency=2, show_progress=False))
-    assert other.get_vocab() == mine and len(merges) == 60
-    unseen = spark.createDataFrame([(100, "Ωmega the ZZ")], "doc_id int, text string")
-    for r in tokens.bpe_encode(corpus.union(unseen), merges, mine).collect():
-        assert r["ids"] == other.encode(r["text"]).ids
-        assert r["doc_id"] < 100 or mine["[UNK]"] in r["ids"]
-
-
-def test_byte_alphabet_is_a_bijection():
-    alphabet = tokens.byte_alphabet()
-    assert len(set(alphabet)) == 256 and alphabet[ord("A")] == "A" and alphabet[32] == "Ġ" and alphabet[10] == "Ċ"
-
-
 def test_language_scripts_short_text_and_profiles(spark, sf_dir):
     docs = views.lang_docs(spark, sf_dir)
     profile = language.language_profile(language.bigram_counts(docs.filter("side = 'train'")))
@@ -59,9 +24,3 @@ def test_two_heads_learn_the_templates(spark, sf_dir):
     assert scores["accuracy_intent"] > 0.9 and scores["macro_f1_intent"] > 0.85 and scores["loss"] > 0
     empty = models.score_two_head(model, spark.createDataFrame([(1, "")], "id int, text string")).first()
     assert len(empty["la"]) == 22
-
-
-def test_a_round_ends_after_a_spelling_reached_twice():
-    from dragoman.operators.tokens import _independent
-    top = [(1, 2, 100), (5, 6, 60), (9, 7, 50), (2, 7, 25)]
-    assert _independent(top, True, {(1, 2): 9}) == [(1, 2, 100)]
