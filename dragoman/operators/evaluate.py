@@ -139,15 +139,14 @@ def two_head_loss(rows: DataFrame, weight_a: float = dims.LOSS_WEIGHT_INTENT, we
 LATENCY_SHARES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 
-def latency_percentiles(predictions: DataFrame, budget_ms: float = 5.0, width: float = 0.05,
-                        approximate: bool = False) -> DataFrame:
+def latency_percentiles(predictions: DataFrame, budget_ms: float = 5.0, approximate: bool = False) -> DataFrame:
     """p50, p95, p99 per classifier with linear interpolation, and whether p95 is in budget."""
     if approximate:
         found = predictions.groupBy("classifier").agg(
             F.percentile_approx("latency_ms", list(LATENCY_SHARES.values()), 10_000).alias("p"))
         found = found.select("classifier", *[F.get("p", F.lit(i)).alias(n) for i, n in enumerate(LATENCY_SHARES)])
     else:
-        found = exact_percentiles(predictions, ["classifier"], "latency_ms", LATENCY_SHARES, width)
+        found = exact_percentiles(predictions, ["classifier"], "latency_ms", LATENCY_SHARES)
     return found.withColumn("within_budget", F.col("p95") < budget_ms)
 
 

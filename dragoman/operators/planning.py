@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dragoman import dims
-from dragoman.functions.ranking import ROWS_PER_BUCKET, ranked, seq_bucket
+from dragoman.functions.ranking import ROWS_PER_BUCKET, range_of, ranked
 from dragoman.functions.text import hash_bucket
 
 
@@ -92,7 +92,7 @@ def round_robin(calls: DataFrame, models: DataFrame, group: str = "provider", se
     Calls of a group without models get null.
     """
     lists = models.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "model"))), lambda m: m["model"]).alias("_models"))
-    numbered = ranked(calls, [group], seq_bucket(F.col(seq), rows_per_bucket), [F.col(seq)], out="call_no")
+    numbered = ranked(calls, [group], range_of(calls, [seq], rows_per_bucket), [seq], out="call_no")
     return numbered.join(F.broadcast(lists), group, "left").withColumn(
         "assigned", F.get("_models", ((F.col("call_no") - 1) % F.size("_models")).cast("int"))).drop("_models")
 
@@ -106,7 +106,7 @@ def rate_plan(requests: DataFrame, models: DataFrame, budget_s: float = dims.CYC
     """
     spaced = requests.join(F.broadcast(models.select("model", "spacing_s")), "model").withColumn(
         "_fits", F.ceil(F.lit(budget_s) / F.col("spacing_s")))
-    ranked_requests = ranked(spaced, ["model"], seq_bucket(F.col(seq), rows_per_bucket), [F.col(seq)],
+    ranked_requests = ranked(spaced, ["model"], range_of(requests, [seq], rows_per_bucket), [seq],
                              out="_n", below=F.col("_fits"))
     timed = ranked_requests.withColumn("send_at_s", F.round((F.col("_n") - 1) * F.col("spacing_s"), 3))
     return timed.filter((F.col("_n") - 1) * F.col("spacing_s") < budget_s).drop("_n", "_fits", "spacing_s")

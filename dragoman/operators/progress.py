@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
-from dragoman.functions.ranking import ROWS_PER_BUCKET, ranked, seq_bucket
+from dragoman.functions.ranking import ROWS_PER_BUCKET, range_of, ranked
 from dragoman.functions.text import thousands, utc_day
 
 
@@ -93,7 +93,7 @@ def quota_status(calls: DataFrame, models: DataFrame) -> DataFrame:
 def usage_running(calls: DataFrame, seq: str = "call_id", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Calls so far of the model in the UTC day, counted call by call in arrival order."""
     dated = calls.withColumn("day", utc_day(F.col("ts")))
-    return ranked(dated, ["day", "provider", "model"], seq_bucket(F.col(seq), rows_per_bucket), [F.col(seq)], out="used")
+    return ranked(dated, ["day", "provider", "model"], range_of(calls, [seq], rows_per_bucket), [seq], out="used")
 
 
 def first_exhaustion(calls: DataFrame, models: DataFrame, seq: str = "call_id",
@@ -101,7 +101,7 @@ def first_exhaustion(calls: DataFrame, models: DataFrame, seq: str = "call_id",
     """The call that exhausted a model on a day."""
     limits = F.broadcast(models.withColumn("stop_at", stop_limit()).select("provider", "model", "stop_at"))
     dated = calls.withColumn("day", utc_day(F.col("ts"))).join(limits, ["provider", "model"])
-    counted = ranked(dated, ["day", "provider", "model"], seq_bucket(F.col(seq), rows_per_bucket), [F.col(seq)],
+    counted = ranked(dated, ["day", "provider", "model"], range_of(calls, [seq], rows_per_bucket), [seq],
                      out="used", below=F.col("stop_at"))
     return counted.filter(F.col("used") == F.col("stop_at")).select("day", "provider", "model", seq, "ts", "used")
 

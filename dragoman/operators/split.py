@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
 from dragoman.functions.plan import bind_once
-from dragoman.functions.ranking import ROWS_PER_BUCKET, keys_at_ranks, running_total, seq_bucket
+from dragoman.functions.ranking import ROWS_PER_BUCKET, keys_at_ranks, range_of, running_total, seq_bucket
 
 
 def quota_cap(examples: DataFrame, remaining: DataFrame, seq: str, order: list[str],
@@ -22,7 +22,7 @@ def quota_cap(examples: DataFrame, remaining: DataFrame, seq: str, order: list[s
     rows up to it is a filter.
     """
     cls = "intent_class_id"
-    last = keys_at_ranks(examples, [cls], seq_bucket(F.col(seq), rows_per_bucket), order,
+    last = keys_at_ranks(examples, [cls], range_of(examples, order, rows_per_bucket), order,
                          {"_last": F.col("remaining")}, remaining.filter(F.col("remaining") > 0))
     return examples.join(F.broadcast(last), cls).filter(F.struct(*order) <= F.col("_last")).drop("_last")
 

@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dragoman.functions.ranking import _offsets, exact_percentiles, ranked, running_total, seq_bucket
+from dragoman.functions import ranking
+from dragoman.functions.ranking import _offsets, exact_percentiles, keys_at_ranks, range_of, ranked, running_total, seq_bucket
 from dragoman.functions.skew import salted_left_join
 from dragoman.operators import split
 
@@ -65,10 +67,69 @@ def test_percentiles_match_linear_interpolation(spark):
     rng = np.random.default_rng(5)
     groups = {"a": rng.gamma(2, 3, 1001), "b": np.full(400, 2.5), "c": np.array([7.0]), "d": np.r_[np.zeros(900), rng.random(100) * 50]}
     df = spark.createDataFrame([(g, float(x)) for g, xs in groups.items() for x in xs], "g string, x double")
-    got = exact_percentiles(df, ["g"], "x", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, 0.3).collect()
-    assert len(got) == 4
-    for r in got:
-        assert np.allclose([r["p50"], r["p95"], r["p99"]], np.percentile(groups[r["g"]], [50, 95, 99]))
+    for rows in (100_000, 60, 1):
+        got = exact_percentiles(df, ["g"], "x", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, rows).collect()
+        assert len(got) == 4
+        for r in got:
+            assert np.allclose([r["p50"], r["p95"], r["p99"]], np.percentile(groups[r["g"]], [50, 95, 99]), rtol=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["dense", "wide", "two values", "ties at the border"])
+def test_brackets_stay_small_whatever_the_density(spark, monkeypatch, kind):
+    """All values within 0.0002, a range of 10^9, and hot values: exact, with few different values ranked at last."""
+    rng = np.random.default_rng(8)
+    xs = {"dense": 1 + rng.random(60_000) * 0.0002, "wide": rng.lognormal(0, 7, 60_000) * 1000, "two values": np.repeat([3.0, 4.0], 30_000),
+          "ties at the border": np.r_[np.full(30_000, 2.0), 2 + rng.random(30_000)]}[kind]
+    df = spark.createDataFrame(pd.DataFrame({"g": 1, "x": rng.permutation(xs)}))
+    seen, inside = [], ranking._inside
+    monkeypatch.setattr(ranking, "_inside", lambda v, g, b: seen.append(inside(v, g, b)) or seen[-1])
+    shares = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
+    got = exact_percentiles(df, ["g"], "x", shares, 500).first()
+    assert np.allclose([got[n] for n in shares], np.quantile(xs, list(shares.values())), rtol=1e-12)
+    ranked_at_last = seen[-1].groupBy("_name").agg(F.count_distinct("_v").alias("n")).agg(F.max("n")).first()[0]
+    assert ranked_at_last <= 500
+
+
+def test_percentiles_without_groups_and_without_values(spark):
+    df = spark.createDataFrame([(None,), (4.0,), (2.0,)], "x double")
+    assert exact_percentiles(df, [], "x", {"p50": 0.5}).collect() == [(3.0,)]
+    assert exact_percentiles(df.filter("x > 9"), [], "x", {"p50": 0.5}).collect() == []
+
+
+def keys_of(kind):
+    """Order keys (a, b): sparse times with one dense burst, one constant leading key, huge gaps."""
+    rng = random.Random(4)
+    if kind == "burst":
+        return [(rng.randrange(10**15), k) for k in range(2000)] + [(77 * 10**12 + k, k) for k in range(4000)]
+    if kind == "constant":
+        return [(5, k) for k in range(6000)]
+    return [(k**5 - 10**15, k) for k in range(6000)]
+
+
+@pytest.mark.parametrize("kind", ["burst", "constant", "gaps"])
+def test_ranges_are_even_and_ranks_exact(spark, kind):
+    keys = keys_of(kind)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 7}", a, b, i % 4) for i, (a, b) in enumerate(random.Random(1).sample(keys, len(keys)))]
+    df = spark.createDataFrame(rows, "g string, a bigint, b bigint, v int").repartition(5)
+    bucket = range_of(df, ["a", "b"], 200)
+    sizes = [r["count"] for r in df.groupBy(bucket.alias("bucket")).count().collect()]
+    assert 20 <= len(sizes) <= 40 and max(sizes) <= 600
+    seen, total, rank, running = {}, {}, {}, {}
+    for g, a, b, v in sorted(rows, key=lambda r: r[1:3]):
+        seen[g], total[g] = seen.get(g, 0) + 1, total.get(g, 0) + v
+        rank[a, b], running[a, b] = seen[g], total[g]
+    assert {(r["a"], r["b"]): r["rank"] for r in ranked(df, ["g"], bucket, ["a", "b"]).collect()} == rank
+    assert {(r["a"], r["b"]): r["running"] for r in running_total(df, ["g"], bucket, ["a", "b"], F.col("v")).collect()} == running
+    for cut in (bucket, None):
+        found = keys_at_ranks(df, ["g"], cut, ["a", "b"], {"third": F.lit(3), "half": F.floor(F.col("_group_sum") / 2)}).collect()
+        assert {r["g"]: (rank[tuple(r["third"])], rank[tuple(r["half"])]) for r in found} == {g: (3, n // 2) for g, n in seen.items()}
+
+
+def test_small_tables_are_one_range(spark):
+    df = spark.range(50).withColumn("g", F.col("id") % 3)
+    assert range_of(df, ["id"]) is None
+    got = ranked(df, ["g"], None, ["id"], total="n", below=F.lit(4)).collect()
+    assert sorted((r["g"], r["rank"], r["n"]) for r in got) == [(g, k, n) for g, n in ((0, 17), (1, 17), (2, 16)) for k in range(1, 5)]
 
 
 def test_salted_join_equals_plain_join(spark):
