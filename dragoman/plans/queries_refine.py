@@ -8,7 +8,7 @@ from dragoman import dims
 from dragoman.functions.plan import through_table
 from dragoman.functions.text import hash_bucket
 from dragoman.functions.variants import kind
-from dragoman.operators import cascade, evaluate, filters, gate, language, planning, progress, refine, routing, scoring, split, tokens
+from dragoman.operators import cascade, dedup, evaluate, filters, gate, language, planning, progress, refine, routing, scoring, split, tokens
 from dragoman.plans import views
 from dragoman.plans.registry import query
 from dragoman.plans.views_sql import (
@@ -359,6 +359,24 @@ def w4(spark, sf_dir):
     return split.stratified_split(rows, "example_id", "class_id").select("example_id", "split")
 
 
+@query("u3_dedup_exact", "SELECT min(doc_id) AS doc_id, lang, md5(text) AS text_md5, count(*) AS copies FROM documents GROUP BY lang, text")
+def u3(spark, sf_dir):
+    rows = views.documents(spark, sf_dir).select("doc_id", "lang", "text")
+    return dedup.dedup_exact(rows, "text", ["lang"], "doc_id").select("doc_id", "lang", F.md5("text").alias("text_md5"), "copies")
+
+
+_DOC_SPLIT = ("(SELECT doc_id, lang, text, CASE WHEN rk <= round(0.05::DOUBLE * n) THEN 'test' WHEN rk <= round(0.05::DOUBLE * n) + round(0.10::DOUBLE * n) THEN 'val' ELSE 'train' END AS split "
+              "FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || doc_id), doc_id) AS rk, count(*) OVER (PARTITION BY lang) AS n FROM documents))")
+
+
+@query("u3_split_overlap",
+       f"WITH s AS MATERIALIZED {_DOC_SPLIT} SELECT lang, split, count(*) AS rows, count_if(EXISTS (SELECT 1 FROM s t WHERE t.split = 'train' AND t.lang = s.lang AND t.text = s.text)) AS in_train "
+       "FROM s WHERE split <> 'train' GROUP BY 1, 2")
+def u3_overlap(spark, sf_dir):
+    rows = split.stratified_split(views.documents(spark, sf_dir).select("doc_id", "lang", "text"), "doc_id", "lang")
+    return dedup.split_overlap(through_table(rows, "split"), "text", ["lang"])
+
+
 @query("a1_class_counts", with_views(
     "SELECT d.class_id, d.label, (SELECT count(*) FROM examples e WHERE e.class_id = d.class_id) AS before, "
     "(SELECT count(*) FROM filtered f WHERE f.class_id = d.class_id) AS after, (SELECT count(*) FROM examples e WHERE e.class_id = d.class_id) - "
