@@ -125,10 +125,15 @@ def tag_provenance(examples: DataFrame, provider: str = "provider", model: str =
         "generated_by", F.concat_ws(":", provider, model))
 
 
-def refine(responses: DataFrame, intents: DataFrame | None = None) -> DataFrame:
-    """Raw answers to tagged examples in one pass without a shuffle."""
+def refine(responses: DataFrame, intents: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
+    """Raw answers to tagged examples in one pass without a shuffle.
+
+    Mixed-mode items of the classes in ``done(class_id)`` are skipped.
+    """
     keep = ["response_id", "item_no", "provider", "model"]
-    return tag_provenance(normalize_items(verify_responses(responses, intents), keep)).drop("provider", "model")
+    checked = verify_responses(responses, intents)
+    checked = checked if done is None else mark_complete(checked, done)
+    return tag_provenance(normalize_items(checked, keep)).drop("provider", "model")
 
 
 def mark_complete(verified: DataFrame, done: DataFrame) -> DataFrame:

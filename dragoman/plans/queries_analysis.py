@@ -533,13 +533,27 @@ def x2(spark, sf_dir):
     return written.groupBy("generated_by", "intent_class_label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("x2_skip_complete_stream", with_views(
+    "SELECT response_id, item_no FROM verified WHERE status = 'valid' AND NOT (expected_class_id IS NULL AND class_id % 3 = 0)", "verified"))
+def x2_skip(spark, sf_dir):
+    """Every third class is complete from the start, the others never are: equals ``j3_skip_complete`` over batch."""
+    base = shared_folder(spark, "refine")
+    raw = views.raw_responses(spark, sf_dir)
+    raw.write.parquet(f"{base}/in")
+    held = dims.dim_intent(spark).select("class_id", F.lit(8000).cast("bigint").alias("existing"),
+                                         F.when(F.col("class_id") % 3 == 0, 8000).otherwise(1 << 60).alias("target"))
+    stream = jobs.file_stream(spark, f"{base}/in", raw.schema, max_files=4)
+    jobs.refine_stream(stream, f"{base}/out", f"{base}/checkpoint", held).awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").schema("response_id bigint, item_no int").json(f"{base}/out")
+
+
 @query("x3_quota_stream", with_views(
-    "SELECT (msg_id % 22 + 1)::INT AS intent_class_id, least(count(*), 300) AS accepted FROM utterances GROUP BY 1", "utterances"))
+    "SELECT intent_class_id, row_id FROM (SELECT (msg_id % 22 + 1)::INT AS intent_class_id, msg_id AS row_id, row_number() OVER (PARTITION BY msg_id % 22 ORDER BY msg_id) AS place FROM utterances) "
+    "WHERE place <= 300", "utterances"))
 def x3(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).select(
-        (F.col("event_id") % 22 + 1).cast("int").alias("intent_class_id"), F.col("event_id").alias("row_id"))
-    return jobs.run_to_table(jobs.quota_stream(rows, 300), "quota").groupBy("intent_class_id").agg(
-        F.count(F.lit(1)).alias("accepted"))
+    """The latest rows arrive first, so most of those accepted at first are replaced."""
+    rows = late_events(spark, sf_dir).select((F.col("event_id") % 22 + 1).cast("int").alias("intent_class_id"), F.col("event_id").alias("row_id"))
+    return jobs.accepted_rows(jobs.run_to_table(jobs.quota_stream(rows, 300), "quota"))
 
 
 @query("x4_usage_stream", with_views(
@@ -549,16 +563,35 @@ def x4(spark, sf_dir):
     return jobs.run_latest(jobs.usage_stream(calls), "usage", ["day", "provider", "model"])
 
 
-@query("x5_latency_stream", with_views(
-    "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS window_start, CASE WHEN matched THEN 'covered' ELSE 'open' END AS classifier, count(*) AS rows, "
-    "round(avg(value), 6) AS avg_ms, count_if(matched) AS covered FROM cascade GROUP BY ALL", "cascade"))
-def x5(spark, sf_dir):
+def _latency_sql(days: int) -> str:
+    """Windows of some days, one starting each day; p95 is the middle of the sketch bucket of the value ranked ceil(0.95 n)."""
+    ratio = repr(jobs.SKETCH_RATIO)
+    return with_views(
+        f"SELECT strftime(start, '%Y-%m-%d %H:%M') AS window_start, classifier, count(*) AS rows, round(avg(value), 6) AS avg_ms, "
+        f"round(coalesce(pow({ratio}::DOUBLE, ceil(ln(min(CASE WHEN place >= ceil(n * 0.95::DOUBLE) AND value > 0 THEN value END)) / ln({ratio}::DOUBLE))) * (2 / (1 + {ratio}::DOUBLE)), 0.0), 6) AS p95_ms, "
+        "count_if(matched) AS covered FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY start, classifier ORDER BY value) AS place, count(*) OVER (PARTITION BY start, classifier) AS n FROM ("
+        f"SELECT date_trunc('day', ts)::TIMESTAMP - to_days(off::INT) AS start, CASE WHEN matched THEN 'covered' ELSE 'open' END AS classifier, value, matched "
+        f"FROM cascade, unnest(range({days})) AS u(off))) GROUP BY ALL", "cascade")
+
+
+def _latency(spark, sf_dir, days):
     from dragoman.operators.cascade import regex_classify
     rows = regex_classify(views.utterances(spark, sf_dir, late_events(spark, sf_dir))).select(
         "ts", F.when(F.col("matched"), "covered").otherwise("open").alias("classifier"), "matched",
         F.col("value").alias("latency_ms"))
-    rolled = jobs.run_latest(jobs.latency_stream(rows), "latency", ["window_start", "classifier"])
-    return rolled.drop("p95_ms").withColumn("avg_ms", F.round("avg_ms", 6))
+    panes = jobs.run_latest(jobs.latency_panes(rows), "latency", jobs.PANE_KEYS)
+    return jobs.latency_windows(panes, 86_400, days).withColumns({c: F.round(c, 6) for c in ("avg_ms", "p95_ms")})
+
+
+@query("x5_latency_stream", _latency_sql(1))
+def x5(spark, sf_dir):
+    return _latency(spark, sf_dir, 1)
+
+
+@query("x5_latency_sliding", _latency_sql(3))
+def x5_sliding(spark, sf_dir):
+    return _latency(spark, sf_dir, 3)
 
 
 @query("x6_checkpoint_stream", with_flush(
