@@ -21,9 +21,13 @@ def py_strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def py_tokens(text: Column) -> Column:
-    """``str.split()`` as an array, empty pieces dropped."""
-    return F.filter(F.split(text, f"[{WS_CLASS}]+"), lambda piece: piece != "")
+def py_tokens(text: Column, first: int | None = None) -> Column:
+    """``str.split()`` as an array, empty pieces dropped.
+
+    With ``first``, that many leading tokens are right and what follows may be cut wrongly: a long text is not read to its end.
+    """
+    limit = -1 if first is None else first + 2  # an empty piece at the start, and the rest
+    return F.filter(F.split(text, f"[{WS_CLASS}]+", limit), lambda piece: piece != "")
 
 
 def token_count(text: Column) -> Column:

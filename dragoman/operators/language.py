@@ -6,7 +6,11 @@ never joins against something that grows with the corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from dragoman import dims
 from dragoman.functions.text import py_strip
@@ -14,24 +18,34 @@ from dragoman.functions.text import py_strip
 BUCKETS = 4096
 MIN_DISTANCE = 0.1
 # fixed values: scripts that decide on their own
-SCRIPTS = [("ar", "؀-ۿ"), ("hi", "ऀ-ॿ"), ("zh", "一-鿿")]
+SCRIPTS = [("ar", "\u0600-\u06ff"), ("hi", "\u0900-\u097f"), ("zh", "\u4e00-\u9fff")]
 
 
-def bigram_buckets(text: Column) -> Column:
-    """Bucket numbers of the adjacent character pairs of the lower-cased text.
+def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the adjacent character pairs of all texts end to end, and the pairs of each text."""
+    known = [t or "" for t in texts.to_pylist()]
+    points = np.frombuffer("".join(known).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    lengths = np.array([len(t) for t in known], np.int64)
+    pairs = (points[:-1] * 31 + points[1:]) % BUCKETS
+    inside = np.ones(len(points), bool)
+    inside[np.cumsum(lengths)[lengths > 0] - 1] = False  # the last character has no successor
+    return pairs[inside[:-1]] if len(points) else pairs, np.maximum(lengths - 1, 0)
 
-    One entry per character; the last one has no successor and is null.
-    """
-    bound = F.array(F.transform(F.split(F.lower(text), ""), F.ascii))
-    pairs = F.transform(bound, lambda points: F.transform(
-        points, lambda a, i: (a * 31 + F.get(points, i + 1)) % BUCKETS))
-    return F.get(pairs, F.lit(0))
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lang = batch.column("lang").dictionary_encode("encode")
+        pairs, sizes = _buckets(batch.column("text"))
+        key = np.repeat(lang.indices.to_numpy().astype(np.int64), sizes) * BUCKETS + pairs
+        seen, n = np.unique(key, return_counts=True)
+        yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(seen // BUCKETS)).cast(pa.string()), pa.array(seen % BUCKETS, pa.int32()), pa.array(n, pa.int64())],
+                                         ["lang", "bucket", "n"])
 
 
 def bigram_counts(texts: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """Counts per language and bucket; at most languages x buckets rows."""
-    return (texts.select(F.col(lang).alias("lang"), F.explode(bigram_buckets(F.col(text))).alias("bucket"))
-            .filter(F.col("bucket").isNotNull()).groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n")))
+    """Counts per language and bucket; at most languages x buckets rows, counted batch by batch before the shuffle."""
+    rows = texts.select(F.col(lang).cast("string").alias("lang"), F.lower(text).alias("text"))
+    return rows.mapInArrow(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def language_profile(counts: DataFrame) -> DataFrame:
@@ -49,17 +63,27 @@ def language_profile(counts: DataFrame) -> DataFrame:
 def with_language_scores(texts: DataFrame, profile: DataFrame, text: str = "text") -> DataFrame:
     """Add ``lang_scores``: (language, mean log likelihood), best first.
 
-    The whole profile is one scalar value, so a text is scored in its own row: no explode,
-    no join, no shuffle.
+    The whole profile, languages x buckets numbers, travels with the task: a batch of texts gathers its
+    log shares and sums them by text. No row per character, no join, no shuffle.
     """
-    known = profile.agg(F.collect_list(F.struct("lang", "logp"))).scalar()
-    staged = texts.withColumn("_buckets", bigram_buckets(F.col(text))).withColumn("_known", known)
-    scores = F.transform("_known", lambda k: F.struct(
-        (-F.aggregate("_buckets", F.lit(0.0), lambda acc, b: acc + F.coalesce(F.get(k["logp"], b), F.lit(0.0)))
-         / F.greatest(F.size("_buckets") - 1, F.lit(1))).alias("neg"),
-        k["lang"].alias("lang")))
-    return staged.withColumn("lang_scores", F.transform(F.array_sort(scores), lambda s: F.struct(
-        s["lang"].alias("lang"), (-s["neg"]).alias("score")))).drop("_buckets", "_known")
+    rows = profile.orderBy("lang").collect()
+    shared = texts.sparkSession.sparkContext.broadcast(([r["lang"] for r in rows], np.array([r["logp"] for r in rows]).reshape(len(rows), BUCKETS)))
+
+    @F.arrow_udf("array<struct<lang:string,score:double>>")
+    def scores(batch: pa.Array) -> pa.Array:
+        langs, logp = shared.value
+        pairs, sizes = _buckets(batch)
+        filled, found = sizes > 0, np.zeros((len(langs), len(batch)))
+        starts = (np.cumsum(sizes) - sizes)[filled]
+        for known, mean in zip(logp, found):
+            if len(starts):
+                mean[filled] = np.add.reduceat(known[pairs], starts) / sizes[filled]
+        best = np.argsort(-found, axis=0, kind="stable").T.ravel()  # ties go by language
+        at = np.repeat(np.arange(len(batch)), len(langs))
+        ranked = pa.StructArray.from_arrays([pa.array(langs, pa.string()).take(pa.array(best)), pa.array(found[best, at])], ["lang", "score"])
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * len(langs), pa.int32()), ranked)
+
+    return texts.withColumn("lang_scores", scores(F.lower(text)))
 
 
 def detect_language(texts: DataFrame, profile: DataFrame, text: str = "text", sharpness: float = 20.0) -> DataFrame:
@@ -74,6 +98,7 @@ def detect_language(texts: DataFrame, profile: DataFrame, text: str = "text", sh
     for iso, chars in SCRIPTS:
         share = F.length(F.regexp_replace("_s", f"[^{chars}]", "")) * 2 > letters
         script = F.when(share, iso) if script is None else script.when(share, iso)
+    script = F.when(F.col("_s").rlike(f"[{''.join(chars for _, chars in SCRIPTS)}]"), script)  # most texts have no such character
     scored = with_language_scores(stripped, profile, "_s").withColumns({"_short": F.length("_s") < 3, "_script": script})
     best = F.get("lang_scores", F.lit(0))
     weighed = scored.withColumn("_w", F.transform("lang_scores", lambda s: F.exp((s["score"] - best["score"]) * sharpness)))

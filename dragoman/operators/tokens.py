@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
@@ -32,11 +38,22 @@ def byte_symbols(token: Column) -> Column:
     return F.transform(pairs, lambda h: F.get(table, F.conv(h, 16, 10).cast("int")))
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts: Counter[str] = Counter()
+        for text in batch.column(0).to_pylist():
+            counts.update((text or "").split())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+
 def word_counts(texts: DataFrame, text: str = "text", byte_level: bool = False, min_count: int = 2) -> DataFrame:
-    """Pre-token frequencies; counting combines map-side, so frequent words do not skew."""
-    tokens = byte_level_tokens(F.col(text)) if byte_level else py_tokens(F.col(text))
-    return (texts.select(F.explode(tokens).alias("word")).groupBy("word")
-            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count))
+    """Pre-token frequencies, counted batch by batch before the shuffle, so frequent words do not skew."""
+    if byte_level:
+        words = texts.select(F.explode(byte_level_tokens(F.col(text))).alias("word"))
+        counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    else:  # str.split() is the definition of these words
+        counts = texts.select(F.col(text)).mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.filter(F.col("n") >= min_count)
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
@@ -57,13 +74,23 @@ def encode_words(texts: DataFrame, vocabulary: DataFrame, row_id: str, text: str
                  max_len: int = dims.MAX_TOKENS) -> DataFrame:
     """``input_ids`` and ``attention_mask`` of fixed length from a word vocabulary.
 
-    Only the words that fit ``max_len`` are looked up; the rest of a text is cut by the
-    model's length anyway. The vocabulary has at most its fixed size, so it is broadcast.
+    Only the words that fit ``max_len`` are cut off a text; the rest is dropped by the model's length anyway.
+    The vocabulary has at most its fixed size; every task looks up a batch of words in it at once, so there
+    is no row per word and nothing is shuffled. Null and empty texts have no words.
     """
     pad, unk, cls, sep = (dims.SPECIAL_TOKENS.index(t) for t in ("[PAD]", "[UNK]", "[CLS]", "[SEP]"))
-    words = texts.select(row_id, F.posexplode_outer(F.slice(py_tokens(F.col(text)), 1, max_len - 2)).alias("pos", "word"))
-    looked_up = words.join(F.broadcast(vocabulary), "word", "left")
-    ids = looked_up.groupBy(row_id).agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
-        "pos", F.coalesce("token_id", F.lit(unk)).alias("id"))))).alias("p"))
-    padded, mask = fixed_length(F.transform("p", lambda x: x["id"]), max_len, cls, sep, pad)
-    return ids.select(row_id, padded.alias("input_ids"), mask.alias("attention_mask"))
+    known = vocabulary.select("word", F.col("token_id").cast("int")).toArrow().combine_chunks()
+    shared = texts.sparkSession.sparkContext.broadcast((known.column(0).combine_chunks(), known.column(1).combine_chunks()))
+
+    @F.arrow_udf("array<int>")
+    def look_up(words: pa.Array) -> pa.Array:
+        spelled, numbers = shared.value
+        found = pc.index_in(words.flatten().cast(spelled.type), value_set=spelled)
+        ids = pc.fill_null(numbers.take(found), unk)
+        borders = np.r_[0, np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+        return pa.ListArray.from_arrays(pa.array(borders, pa.int32()), ids)
+
+    first = F.slice(py_tokens(F.col(text), max_len - 2), 1, max_len - 2)
+    looked_up = texts.select(row_id, look_up(first).alias("_ids"))
+    padded, mask = fixed_length(F.col("_ids"), max_len, cls, sep, pad)
+    return looked_up.select(row_id, padded.alias("input_ids"), mask.alias("attention_mask"))

@@ -8,7 +8,7 @@ from dragoman import dims
 from dragoman.functions.plan import through_table
 from dragoman.functions.text import hash_bucket
 from dragoman.functions.variants import kind
-from dragoman.operators import cascade, dedup, evaluate, filters, gate, language, planning, progress, refine, routing, scoring, split, tokens
+from dragoman.operators import cascade, dedup, evaluate, filters, gate, language, pattern_table, planning, progress, refine, routing, scoring, split, tokens
 from dragoman.plans import views
 from dragoman.plans.registry import query
 from dragoman.plans.views_sql import (
@@ -211,6 +211,28 @@ def a12(spark, sf_dir):
 
 
 # --- refinery --------------------------------------------------------------------------------
+#: Patterns of `j5_pattern_table`: the rarest of the most frequent long words, each as a word of its own.
+TABLE_PATTERNS = 5000
+
+
+def word_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern for each frequent ASCII word of the documents, the rarer ones first."""
+    counted = tokens.word_counts(views.documents(spark, sf_dir)).filter(F.col("word").rlike("^[a-z]{4,}$"))
+    top = counted.orderBy(F.desc("n"), "word").limit(TABLE_PATTERNS)
+    return top.select((F.col("n")).alias("priority"), F.concat(F.lit(r"\b"), "word", F.lit(r"\b")).alias("pattern"), F.lit(True).alias("ignore_case"),
+                      F.col("word").alias("label"), F.length("word").cast("string").alias("tier"))
+
+
+@query("j5_pattern_table",
+       f"WITH w AS (SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\r\\x0b\\x0c]+')) AS word FROM documents), "
+       f"p AS (SELECT word, row_number() OVER (ORDER BY n, word) - 1 AS rule_no FROM (SELECT word, count(*) AS n FROM w WHERE regexp_full_match(word, '[a-z]{{4,}}') GROUP BY 1 HAVING count(*) >= 2 ORDER BY n DESC, word LIMIT {TABLE_PATTERNS})), "
+       "h AS (SELECT doc_id, min(rule_no) AS rule_no FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'))) AS word FROM documents) JOIN p USING (word) GROUP BY 1) "
+       "SELECT doc_id, rule_no::INT AS rule_no, coalesce(word, 'unknown') AS label, coalesce(length(word)::VARCHAR, '?') AS tier FROM documents LEFT JOIN h USING (doc_id) LEFT JOIN p USING (rule_no)")
+def j5_table(spark, sf_dir):
+    found = pattern_table.classify_by_table(views.documents(spark, sf_dir), word_patterns(spark, sf_dir))
+    return found.select("doc_id", "rule_no", "label", "tier")
+
+
 @query("p4_clean_response", with_views("SELECT response_id, c AS cleaned FROM cleaned", "cleaned"))
 def p4(spark, sf_dir):
     return views.raw_responses(spark, sf_dir).select(

@@ -38,7 +38,7 @@ def plan_of(df):
 
 
 @pytest.mark.parametrize("name", ["p2_gate_noise", "p7_verify_items", "p13_dispatch", "w2_quota_cap", "w4_stratified_split", "a7_benchmark_by_category",
-                                  "a11_latency_percentiles", "w6_usage_running", "n7_detect_language", "t4_sample_k_classes"])
+                                  "a11_latency_percentiles", "w6_usage_running", "t4_sample_k_classes"])
 def test_no_cross_join_and_no_python_in_relational_plans(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
