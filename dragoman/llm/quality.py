@@ -12,25 +12,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from dragoman.functions.plan import bind_once
 from dragoman.llm.common import bound_batches, col, through_table
 
-BLANK = r"[\x20\x09-\x0D]+"
 #: What most characters of a text are; the classes are counted in what this leaves.
 PLAIN = r"[a-z\u00DF-\u00F6\u00F8-\u00FF\x20\x09-\x0D]+"
 #: Classes of the other characters, in Java's regular expressions. The bins of a histogram are PLAIN, these, and the rest.
 CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "point": r"\p{P}", "sign": r"\p{S}"}
 #: A word is common if it makes up this part of a language's words: at most 1 / COMMON words of each.
 COMMON = 0.005
-#: Languages with references of their own; rows of all others, and without one, use that of the whole corpus.
-MAX_REFERENCES = 50
-POOLED = ""
-#: Slots that words are hashed to before they are counted one by one.
+#: Slots that words are hashed to where they are not counted one by one.
 SLOTS = 1 << 15
+#: Part of the texts that words are guessed from, and words guessed at most. A poor guess costs a pass, never a word.
+GUESSED_FROM, GUESSED = 1 / 32, 2000
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.24
 MAX_WORD_DISTANCE = 0.45
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK, -1), lambda w: w != "")
+    spaced = F.coalesce(text, F.lit(""))
+    for blank in "\t\n\x0b\f\r":  # a split at one plain character needs no regular expression
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(spaced, " ", -1), "")
 
 
 def unplain(text: Column) -> Column:
@@ -68,96 +69,111 @@ def _term(p: Column, q: Column) -> Column:
     return (part(p) + part(q)) / 2
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[dict]:
-    """Histograms of the corpus: [{lang, classes (shares), words {word: share}}], for ``MAX_REFERENCES`` languages and pooled.
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Histograms of the corpus: (lang, classes, words, shares), a row per language and one of a null lang for all rows.
 
-    Counts cover all rows and whole texts; they are combined before the shuffles. What reaches the driver is bounded by
-    the numbers of languages and of common words.
+    ``classes`` are the shares of the bins, ``words`` the common words in order and ``shares`` theirs. Rows without a
+    lang count for the whole corpus only. Counts cover all rows and whole texts; an empty corpus gives no rows.
+
+    One pass counts the words guessed to be common one by one, and all others by slot. A common word's slot holds at
+    least its share, so only words of such slots, if there are any, are counted in a second pass.
     """
     bound_batches(docs.sparkSession)
-    rows = docs.select(F.coalesce(col(lang_col), F.lit(POOLED)).alias("lang"), col(text_col).alias("text")).filter("text is not null")
+    rows = docs.select(col(lang_col).alias("lang"), col(text_col).alias("text")).filter("text is not null")
     bins = [f"c{k}" for k in range(len(CLASSES) + 2)]
-    classes = bind_once(rows.select("lang", "text"), {"rest": unplain(F.col("text"))})
+    classes = bind_once(rows, {"rest": unplain(F.col("text"))})
     classes = bind_once(classes.select("lang", F.length("text").alias("chars"), "rest"), {"c": class_counts(F.col("chars"), F.col("rest"))})
-    found = through_table(classes.groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(F.col("c")[k]).alias(b) for k, b in enumerate(bins)]), "classes")
-    own = [r["lang"] for r in found.filter(F.col("lang") != POOLED).orderBy(F.desc("n"), "lang").limit(MAX_REFERENCES).collect()]
-    lang = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(POOLED) if own else F.lit(POOLED)
-    words = rows.select(lang.alias("lang"), F.explode(words_of(F.col("text"))).alias("word"))
-    slot = F.pmod(F.hash("word"), F.lit(SLOTS))
-    # a common word's slot holds at least its share, so few slots are left to count words in
-    slots = through_table(words.groupBy("lang", slot.alias("slot")).agg(F.count("*").alias("n")), "slots")
-    sizes = {r["lang"]: r["n"] for r in slots.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    sizes[None] = sum(sizes.values())
-    by_lang = slots.withColumn("all", F.sum("n").over(Window.partitionBy("lang"))).filter(F.col("n") >= COMMON * F.col("all")).select("slot")
-    pooled = slots.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON * sizes[None]).select("slot")
-    heavy = [r["slot"] for r in by_lang.union(pooled).distinct().collect()]
-    counted = through_table(words.filter(slot.isin(heavy) if heavy else F.lit(False)).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
-    shares: dict[str | None, dict[str, float]] = {}
-    limit = F.lit(None).cast("double")
-    for x in own:
-        limit = F.when(F.col("lang") == x, COMMON * sizes.get(x, 0)).otherwise(limit)
-    for r in counted.filter(F.col("n") >= limit).collect():
-        shares.setdefault(r["lang"], {})[r["word"]] = r["n"] / sizes[r["lang"]]
-    for r in counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON * sizes[None]).collect():
-        shares.setdefault(None, {})[r["word"]] = r["n"] / sizes[None]
-    out = []
-    for x, rows_of in [(x, found.filter(F.col("lang") == x)) for x in own] + [(None, found)]:
-        total = rows_of.agg(*[F.sum(b).alias(b) for b in bins]).first()
-        counts = [total[b] or 0 for b in bins]
-        out.append({"lang": POOLED if x is None else x, "classes": [c / max(sum(counts), 1) for c in counts], "words": shares.get(x, {})})
-    return out if sizes[None] else []
-
-
-def judged(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    found = through_table(classes.groupBy("lang").agg(*[F.sum(F.col("c")[k]).alias(b) for k, b in enumerate(bins)]), "classes")
+
+    words_in = lambda df: df.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
+    guessed = _guessed(words_in(rows.sample(GUESSED_FROM, seed=5)))
+    is_guess = F.col("word").isin(guessed) if guessed else F.lit(False)
+    words = words_in(rows).withColumn("slot", F.when(~is_guess, F.pmod(F.hash("word"), F.lit(SLOTS))))
+    counts = through_table(words.groupBy("lang", F.when(is_guess, F.col("word")).alias("word"), "slot").agg(F.count(F.lit(1)).alias("n")), "words")
+    sizes = through_table(counts.groupBy("lang").agg(F.sum("n").alias("size")), "sizes")
+    size = sizes.agg(F.sum("size")).first()[0]
+    slots = counts.filter("slot is not null")
+    heavy = _of_language(slots, sizes).filter(F.col("n") >= COMMON * F.col("size")).select("slot").union(
+        slots.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON * F.lit(size)).select("slot")).distinct()
+    heavy = through_table(heavy, "slots")
+    known = counts.filter("word is not null").select("lang", "word", "n")
+    if not heavy.isEmpty():
+        second = words.join(F.broadcast(heavy), "slot", "left_semi")  # SLOTS rows at most
+        known = through_table(known.unionByName(second.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))), "words")
+
+    def shares(per_word: DataFrame) -> DataFrame:
+        common = per_word.filter(F.col("n") >= COMMON * F.col("size")).select("lang", F.struct("word", (F.col("n") / F.col("size")).alias("q")).alias("w"))
+        listed = common.groupBy("lang").agg(F.array_sort(F.collect_list("w")).alias("w"))  # 1 / COMMON words at most
+        return listed.select("lang", F.transform("w", lambda w: w.word).alias("words"), F.transform("w", lambda w: w.q).alias("shares"))
+
+    def histograms(per_class: DataFrame, per_word: DataFrame) -> DataFrame:
+        chars = F.greatest(sum((F.col(b) for b in bins[1:]), F.col(bins[0])), F.lit(1))
+        shaped = per_class.select("lang", F.array(*[F.col(b) / chars for b in bins]).alias("classes"))
+        listed = shares(per_word).withColumnRenamed("lang", "_lang")
+        return shaped.join(listed, F.col("lang").eqNullSafe(F.col("_lang")), "left").select(
+            "lang", "classes", F.coalesce("words", F.array().cast("array<string>")).alias("words"), F.coalesce("shares", F.array().cast("array<double>")).alias("shares"))
+
+    none = F.lit(None).cast("string").alias("lang")
+    own = histograms(found.filter("lang is not null"), _of_language(known.filter("lang is not null"), sizes))
+    pooled = histograms(found.agg(*[F.sum(b).alias(b) for b in bins]).filter(f"{bins[0]} is not null").select(none, *bins),
+                        known.groupBy("word").agg(F.sum("n").alias("n")).select(none, "word", "n", F.lit(size).alias("size")))
+    return through_table(own.unionByName(pooled), "references")
+
+
+def _of_language(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    return counts.join(sizes, "lang")
+
+
+def _guessed(words: DataFrame) -> list[str]:
+    """Words that make up half of COMMON or more of a language's drawn words, those with the greatest shares first."""
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    part = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
+    top = counts.withColumn("part", part).filter(F.col("part") >= COMMON / 2).groupBy("word").agg(F.max("part").alias("part"))
+    return [r["word"] for r in top.orderBy(F.desc("part"), "word").limit(GUESSED).collect()]
+
+
+def judged(docs: DataFrame, refs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance,
     word_distance, base_failed, kept.
 
-    Null and empty texts have no word and fail. Texts under ``MIN_WORDS`` words have null distances. Without references
-    (an empty corpus) no text is judged by distance. No shuffle; every row is judged by itself, repeated or not.
+    Null and empty texts have no word and fail. Texts under ``MIN_WORDS`` words have null distances. A row is compared with
+    its language's row of ``refs`` (``references``), or without one with that of a null lang; without either (an empty
+    corpus) it is not judged by distance. Every row is judged by itself, repeated or not.
     """
     text = F.coalesce(col(text_col), F.lit(""))
-    df = docs.select(col(id_col).alias("doc_id"), text.alias("text"), F.coalesce(col(lang_col), F.lit(POOLED)).alias("lang"))
+    df = docs.select(col(id_col).alias("doc_id"), text.alias("text"), col(lang_col).alias("lang"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = bind_once(df, {"words": words_of(F.col("text")), "lines": lines, "chars": F.length("text"), "rest": unplain(F.col("text"))}, drop=("text",))
     bound, repeats = repeated_words(F.col("words"))
-    by_lang = {r["lang"]: r for r in refs}
-    pooled = by_lang.get(POOLED)
-    langs = [x for x in by_lang if x != POOLED]
-
-    def chosen(make, default):
-        """``make`` of the row's reference."""
-        other = make(pooled) if pooled else default
-        case = None
-        for x in langs:
-            case = (F if case is None else case).when(F.col("lang") == x, make(by_lang[x]))
-        return other if case is None else case.otherwise(other)
-
-    shares = chosen(lambda r: F.array(*[F.lit(float(x)) for x in r["classes"]]), F.lit(None).cast("array<double>"))
-    common = chosen(lambda r: F.sort_array(F.filter("words", lambda w: w.isin(list(r["words"])))) if r["words"] else F.array().cast("array<string>"),
-                    F.array().cast("array<string>"))
-    table = chosen(lambda r: F.create_map(*[F.lit(x) for pair in sorted(r["words"].items()) for x in pair]) if r["words"] else F.create_map().cast("map<string,double>"),
-                   F.create_map().cast("map<string,double>"))
+    parts = ("classes", "words", "shares")
+    pooled = refs.filter("lang is null").select(F.struct(*parts)).scalar()
+    own = refs.filter("lang is not null").select(F.col("lang").alias("_lang"), F.struct(*parts).alias("_own"))
+    df = bind_once(df.join(own, F.col("lang") == F.col("_lang"), "left"), {"ref": F.coalesce("_own", pooled)}, drop=("_own", "_lang", "lang"))
+    common = F.sort_array(F.filter("words", lambda w: F.array_contains("ref.words", w)))
+    none = lambda name, kind: F.coalesce(F.col(f"ref.{name}"), F.array().cast(f"array<{kind}>"))
     df = bind_once(df, {
         "n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "classes": class_counts(F.col("chars"), F.col("rest")), "n_symbols": F.regexp_count("rest", F.lit(r"[#*$%&|<>]")).cast("long"), "common": common, "shares": shares, "table": table, "_windows": bound["_windows"]}, drop=("words", "lines", "chars", "rest"))
+        "classes": class_counts(F.col("chars"), F.col("rest")), "n_symbols": F.regexp_count("rest", F.lit(r"[#*$%&|<>]")).cast("long"), "common": F.coalesce(common, F.array().cast("array<string>")),
+        "ref_words": none("words", "string"), "ref_shares": none("shares", "double"), "ref_classes": F.col("ref.classes"), "_windows": bound["_windows"]},
+        drop=("words", "lines", "chars", "rest", "ref"))
     s = F.col("common")
     starts = F.filter(F.transform(s, lambda w, k: F.when(F.coalesce(F.get(s, k - 1) != w, F.lit(True)), k)), lambda k: k.isNotNull())
     df = bind_once(df, {"_ranked": bound["_ranked"], "starts": starts}, drop=("_windows",))
     k, n = F.col("starts"), F.greatest(F.col("n_words"), F.lit(1))
     runs = F.transform(k, lambda x, i: F.struct(((F.coalesce(F.get(k, i + 1), F.size("common")) - x) / n).alias("p"), F.get(s, x).alias("w")))
     df = bind_once(df, {"_places": bound["_places"], "runs": runs}, drop=("_ranked", "starts"))
-    runs = F.transform("runs", lambda r: F.struct(r["p"].alias("p"), F.element_at(F.col("table"), r["w"]).alias("q")))
+    runs = F.transform("runs", lambda r: F.struct(r["p"].alias("p"), F.get("ref_shares", F.array_position("ref_words", r["w"]).cast("int") - 1).alias("q")))
     df = bind_once(df, {"runs2": runs, "n_repeat_words": repeats}, drop=("_places", "runs", "common"))
     # bins with none of the text's words add half their share each; what is no common word is one bin more
-    q_all = F.aggregate(F.map_values("table"), F.lit(0.0), lambda a, q: a + q)
+    q_all = F.aggregate("ref_shares", F.lit(0.0), lambda a, q: a + q)
     seen = F.aggregate("runs2", F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q")),
                        lambda a, r: F.struct((a["d"] + _term(r["p"], r["q"])).alias("d"), (a["p"] + r["p"]).alias("p"), (a["q"] + r["q"]).alias("q")))
-    df = bind_once(df, {"seen": seen, "q_all": q_all}, drop=("runs2", "table"))
+    df = bind_once(df, {"seen": seen, "q_all": q_all}, drop=("runs2", "ref_words", "ref_shares"))
     divergence = F.col("seen.d") + (F.col("q_all") - F.col("seen.q")) / 2 + _term(1 - F.col("seen.p"), 1 - F.col("q_all"))
     size = F.greatest(F.aggregate("classes", F.lit(0).cast("long"), lambda a, n: a + n), F.lit(1))
-    class_divergence = sum((_term(F.col("classes")[k] / size, F.col("shares")[k]) for k in range(len(CLASSES) + 2)), F.lit(0.0))
+    class_divergence = sum((_term(F.col("classes")[k] / size, F.col("ref_classes")[k]) for k in range(len(CLASSES) + 2)), F.lit(0.0))
     long_enough = F.col("n_words") >= MIN_WORDS
     root = lambda x: F.when(long_enough, F.sqrt(F.greatest(x, F.lit(0.0))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -170,9 +170,49 @@ def test_base_rules_equal_brute_force(spark):
             len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed)
 
 
+REFERENCES = "lang string, classes array<double>, words array<string>, shares array<double>"
+
+
+def brute_references(rows):
+    """Shares of classes and of common words per lang and for all, from the definition."""
+    import unicodedata
+    classes, words = {}, {}
+    for lang, text in rows:
+        for key in {lang, None}:
+            seen, count = classes.setdefault(key, [0] * 6), words.setdefault(key, Counter())
+            count.update(re.findall(r"[^\x20\x09-\x0D]+", text))
+            for c in text:
+                kind = unicodedata.category(c)
+                plain = "a" <= c <= "z" or c in " \t\n\x0b\f\r" or "\u00df" <= c <= "\u00f6" or "\u00f8" <= c <= "\u00ff"
+                seen[0 if plain else 1 if kind == "Lu" else 2 if kind == "Nd" else 3 if kind[0] == "P" else 4 if kind[0] == "S" else 5] += 1
+    out = {}
+    for key, seen in classes.items():
+        size = sum(words[key].values())
+        common = sorted(w for w, n in words[key].items() if n >= quality.COMMON * size)
+        out[key] = [c / max(sum(seen), 1) for c in seen], common, [words[key][w] / size for w in common]
+    return out
+
+
+@pytest.mark.parametrize("guessed_from, guessed", [(1 / 32, 2000), (1.0, 3), (1e-9, 2000)])
+def test_references_equal_brute_force(spark, monkeypatch, guessed_from, guessed):
+    """60 languages, an empty one, rows without one; good guesses, too few, none."""
+    monkeypatch.setattr(quality, "GUESSED_FROM", guessed_from)
+    monkeypatch.setattr(quality, "GUESSED", guessed)
+    rng = random.Random(12)
+    rows = [(f"l{k % 60}", " ".join(rng.choice(["der", "die", f"w{k % 60}", f"x{rng.randrange(900)}", "A1", "%é"]) for _ in range(60))) for k in range(300)]
+    rows += [("", "only here\n"), (None, "Zz no lang ٣"), (None, ""), ("empty", "")]
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)] + [(999, "l1", None)], "doc_id long, lang string, text string").repartition(4)
+    want = brute_references(rows)
+    got = {r.lang: r for r in quality.references(docs).collect()}
+    assert got.keys() == want.keys() and len(got) == 63
+    for lang, (classes, words, shares) in want.items():
+        assert got[lang].classes == pytest.approx(classes) and got[lang].words == words and got[lang].shares == pytest.approx(shares)
+
+
 def test_distances_equal_the_definition(spark):
     text = "the cat the dog THE 12 %% " * 12
-    refs = [{"lang": "", "classes": [0.7, 0.1, 0.05, 0.05, 0.05, 0.05], "words": {"the": 0.5, "of": 0.2}}]
+    classes = [0.7, 0.1, 0.05, 0.05, 0.05, 0.05]
+    refs = spark.createDataFrame([(None, classes, ["of", "the"], [0.2, 0.5]), ("xx", [1.0] + [0.0] * 5, ["a"], [1.0])], REFERENCES)
     r = quality.judged(spark.createDataFrame([(1, text, None)], "doc_id long, text string, lang string"), refs).first()
     def distance(p, q):
         m = [(a + b) / 2 for a, b in zip(p, q)]
@@ -180,7 +220,7 @@ def test_distances_equal_the_definition(spark):
         return np.sqrt((part(p) + part(q)) / 2)
     n = len(text)
     chars = [n - (3 + 2 + 2) * 12, 3 * 12, 2 * 12, 2 * 12, 0, 0]
-    assert r.class_distance == pytest.approx(distance([c / n for c in chars], refs[0]["classes"]))
+    assert r.class_distance == pytest.approx(distance([c / n for c in chars], classes))
     assert r.word_distance == pytest.approx(distance([24 / 84, 0, 60 / 84], [0.5, 0.2, 0.3]))
 
 
@@ -197,7 +237,8 @@ def test_units_near_a_licence_template_hold_an_anchor():
 def test_quality_and_licences_of_odd_rows(spark, odd_docs, no_docs):
     rows = quality.judged(odd_docs, quality.references(odd_docs)).collect()
     assert len(rows) == 8 and not any(r.kept for r in rows)
-    assert quality.references(no_docs) == [] and quality.judged(no_docs, []).collect() == [] and len(quality.judged(odd_docs, []).collect()) == 8
+    none = quality.references(no_docs)
+    assert none.collect() == [] and quality.judged(no_docs, none).collect() == [] and len(quality.judged(odd_docs, none).collect()) == 8
     assert licenses.found_licenses(odd_docs).collect() == [] and licenses.found_licenses(no_docs).collect() == []
     docs = spark.createDataFrame([(1, "a\nreleased UNDER the mit  license\nb"), (1, "Released under the MIT License"), (2, "Released under the law of the land here")], "doc_id long, text string")
     assert sorted((r.doc_id, r.line_no, r.license, r.dice) for r in licenses.found_licenses(docs).collect()) == [
