@@ -22,6 +22,8 @@ COMMON = 0.005
 SLOTS = 1 << 15
 #: Part of the texts that words are guessed from, and words guessed at most. A poor guess costs a pass, never a word.
 GUESSED_FROM, GUESSED = 1 / 32, 2000
+#: Common words of all languages that are looked up as constants; with more, every word of a text is counted first.
+MAX_CONSTANTS = 10_000
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.24
 MAX_WORD_DISTANCE = 0.45
@@ -146,26 +148,29 @@ def judged(docs: DataFrame, refs: DataFrame, id_col: str = "doc_id", text_col: s
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = bind_once(df, {"words": words_of(F.col("text")), "lines": lines, "chars": F.length("text"), "rest": unplain(F.col("text"))}, drop=("text",))
     bound, repeats = repeated_words(F.col("words"))
-    parts = ("classes", "words", "shares")
-    pooled = refs.filter("lang is null").select(F.struct(*parts)).scalar()
-    own = refs.filter("lang is not null").select(F.col("lang").alias("_lang"), F.struct(*parts).alias("_own"))
-    df = bind_once(df.join(own, F.col("lang") == F.col("_lang"), "left"), {"ref": F.coalesce("_own", pooled)}, drop=("_own", "_lang", "lang"))
-    common = F.sort_array(F.filter("words", lambda w: F.array_contains("ref.words", w)))
-    none = lambda name, kind: F.coalesce(F.col(f"ref.{name}"), F.array().cast(f"array<{kind}>"))
+    # words common in any language, as constants where they are few; the others of a row's language are told apart later
+    any_common = refs.select(F.explode("words").alias("word")).distinct().limit(MAX_CONSTANTS + 1).collect()
+    is_common = (lambda w: w.isin([r["word"] for r in any_common])) if len(any_common) <= MAX_CONSTANTS else (lambda w: F.lit(True))
+    common = F.sort_array(F.filter("words", is_common)) if any_common else F.array().cast("array<string>")
     df = bind_once(df, {
         "n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "classes": class_counts(F.col("chars"), F.col("rest")), "n_symbols": F.regexp_count("rest", F.lit(r"[#*$%&|<>]")).cast("long"), "common": F.coalesce(common, F.array().cast("array<string>")),
-        "ref_words": none("words", "string"), "ref_shares": none("shares", "double"), "ref_classes": F.col("ref.classes"), "_windows": bound["_windows"]},
-        drop=("words", "lines", "chars", "rest", "ref"))
+        "classes": class_counts(F.col("chars"), F.col("rest")), "n_symbols": F.regexp_count("rest", F.lit(r"[#*$%&|<>]")).cast("long"), "common": common, "_windows": bound["_windows"]},
+        drop=("words", "lines", "chars", "rest"))
     s = F.col("common")
     starts = F.filter(F.transform(s, lambda w, k: F.when(F.coalesce(F.get(s, k - 1) != w, F.lit(True)), k)), lambda k: k.isNotNull())
     df = bind_once(df, {"_ranked": bound["_ranked"], "starts": starts}, drop=("_windows",))
     k, n = F.col("starts"), F.greatest(F.col("n_words"), F.lit(1))
     runs = F.transform(k, lambda x, i: F.struct(((F.coalesce(F.get(k, i + 1), F.size("common")) - x) / n).alias("p"), F.get(s, x).alias("w")))
-    df = bind_once(df, {"_places": bound["_places"], "runs": runs}, drop=("_ranked", "starts"))
+    df = bind_once(df, {"_places": bound["_places"], "runs": runs}, drop=("_ranked", "starts", "common"))
+    parts = ("classes", "words", "shares")
+    pooled = refs.filter("lang is null").select(F.struct(*parts)).scalar()
+    own = refs.filter("lang is not null").select(F.col("lang").alias("_lang"), F.struct(*parts).alias("_own"))
+    df = bind_once(df.join(own, F.col("lang") == F.col("_lang"), "left"), {"ref": F.coalesce("_own", pooled)}, drop=("_own", "_lang", "lang"))
+    listed = lambda name, kind: F.coalesce(F.col(f"ref.{name}"), F.array().cast(f"array<{kind}>"))
+    df = bind_once(df, {"ref_words": listed("words", "string"), "ref_shares": listed("shares", "double"), "ref_classes": F.col("ref.classes")}, drop=("ref",))
     runs = F.transform("runs", lambda r: F.struct(r["p"].alias("p"), F.get("ref_shares", F.array_position("ref_words", r["w"]).cast("int") - 1).alias("q")))
-    df = bind_once(df, {"runs2": runs, "n_repeat_words": repeats}, drop=("_places", "runs", "common"))
+    df = bind_once(df, {"runs2": F.filter(runs, lambda r: r["q"].isNotNull()), "n_repeat_words": repeats}, drop=("_places", "runs"))
     # bins with none of the text's words add half their share each; what is no common word is one bin more
     q_all = F.aggregate("ref_shares", F.lit(0.0), lambda a, q: a + q)
     seen = F.aggregate("runs2", F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q")),
