@@ -33,7 +33,7 @@ FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
           2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = ("record_id string, record_type string, target_uri string, date string, ip string, content_type string, payload binary, "
-          "payload_bytes long, payload_digest string, block_digest string, refers_to_id string, http_headers string, problem string")
+          "payload_bytes long, payload_digest string, block_digest string, refers_to_id string, refers_to_order string, http_headers string, problem string")
 NAMES = [f.split()[0] for f in RECORD.split(", ")]
 _ARROW = pa.schema([(n, {"binary": pa.binary(), "long": pa.int64()}.get(f.split()[1], pa.string())) for n, f in zip(NAMES, RECORD.split(", "))])
 
@@ -70,7 +70,8 @@ def _packed(batches: Iterator[pa.RecordBatch], head: bytes, tail: int, pack: Cal
 
 def _write(archives: DataFrame, folder: str, end: str) -> None:
     # a binary value cast to a string keeps its bytes, and the text writer copies them
-    archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").text(folder)
+    writer = archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", end)
+    writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(folder)
 
 
 # ---- ARC
@@ -164,7 +165,7 @@ def converted(record: dict) -> dict:
     content = "application/http; msgtype=response" if head else record["content_type"]
     return {"record_id": f"urn:uuid:{uuid.uuid5(NAMESPACE, name)}", "record_type": kind, "target_uri": record["url"], "date": iso_date(record["date"]),
             "ip": record["ip"], "content_type": content, "payload": payload, "payload_bytes": len(payload), "payload_digest": sha1(payload),
-            "block_digest": block, "refers_to_id": None, "http_headers": head.decode("latin-1") if head else None, "problem": record["problem"]}
+            "block_digest": block, "refers_to_id": None, "refers_to_order": None, "http_headers": head.decode("latin-1") if head else None, "problem": record["problem"]}
 
 
 def _read(spark: SparkSession, folder: str, parse: Callable[[io.BufferedReader], Iterator[dict]]) -> DataFrame:
@@ -204,7 +205,8 @@ def warc_record(row: dict) -> bytes:
               ("WARC-Target-URI", row["target_uri"]), ("WARC-IP-Address", row["ip"]), ("Content-Type", row["content_type"]),
               ("WARC-Payload-Digest", _base32(row["payload_digest"])), ("WARC-Block-Digest", _base32(sha1(block)))]
     if row["record_type"] == "revisit":
-        fields += [("WARC-Refers-To", f"<{row['refers_to_id']}>"), ("WARC-Profile", REVISIT_PROFILE), ("X-Payload-Length", str(row["payload_bytes"]))]
+        fields += [("WARC-Refers-To", f"<{row['refers_to_id']}>"), ("X-Refers-To-Order", row["refers_to_order"]), ("WARC-Profile", REVISIT_PROFILE),
+                   ("X-Payload-Length", str(row["payload_bytes"]))]
     fields.append(("Content-Length", str(len(block))))
     lines = "".join(f"{k}: {re.sub(r'[\r\n]+', ' ', v)}\r\n" for k, v in fields if v is not None)
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
@@ -244,7 +246,7 @@ def parse_warc(stream) -> Iterator[dict]:
                "date": fields.get("warc-date"), "ip": fields.get("warc-ip-address"), "content_type": fields.get("content-type"),
                "payload": None if revisit else payload, "payload_bytes": int(fields.get("x-payload-length", len(payload))), "payload_digest": digest,
                "block_digest": sha1(block), "refers_to_id": fields.get("warc-refers-to", "").strip("<>") or None,
-               "http_headers": head.decode("latin-1") if head else None, "problem": problem}
+               "refers_to_order": fields.get("x-refers-to-order"), "http_headers": head.decode("latin-1") if head else None, "problem": problem}
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -253,7 +255,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_revisits(records: DataFrame, order: Column, min_bytes: int = 1000) -> DataFrame:
-    """Turn records into revisits of the record with the same payload and the largest ``order``.
+    """Turn records into revisits of the record with the same payload and the largest ``order``, which they name.
 
     Payloads below ``min_bytes`` always stay. Ties on the order go to the largest record identifier. The digests are
     grouped with partial sums; the records themselves are joined to one row for each repeated digest, and
@@ -262,12 +264,12 @@ def with_revisits(records: DataFrame, order: Column, min_bytes: int = 1000) -> D
     large = F.col("payload_bytes") >= min_bytes
     rank = F.struct(order.alias("rank"), F.col("record_id").alias("id"))
     repeated = records.filter(large).groupBy("payload_digest").agg(F.max(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    repeated = repeated.select(F.col("payload_digest").alias("_key"), F.col("first.id").alias("_first"))
+    repeated = repeated.select(F.col("payload_digest").alias("_key"), F.col("first.id").alias("_first"), F.col("first.rank").cast("string").alias("_order"))
     key = F.when(large, F.col("payload_digest")).otherwise(F.col("record_id"))
     joined = records.join(repeated.hint("shuffle_hash"), key == F.col("_key"), "left")
     revisit = large & (F.col("_first") != F.col("record_id"))
     values = {"record_type": F.when(revisit, "revisit").otherwise(F.col("record_type")),
-              "refers_to_id": F.when(revisit, F.col("_first")), "payload": F.when(~F.coalesce(revisit, F.lit(False)), F.col("payload"))}
+              "refers_to_id": F.when(revisit, F.col("_first")), "refers_to_order": F.when(revisit, F.col("_order")), "payload": F.when(~F.coalesce(revisit, F.lit(False)), F.col("payload"))}
     return joined.select(*[values.get(n, F.col(n)).alias(n) for n in NAMES])
 
 

@@ -92,11 +92,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dragoman.llm import archives
     records = archives.archived(spark, table(spark, sf_dir, "pages"))
     page_id = archives.header_value(F.col("http_headers"), "X-Page-Id").cast("long")
-    rows = records.select("record_id", "record_type", "payload_bytes", "payload_digest", "refers_to_id", page_id.alias("page_id"))
-    first = rows.filter("record_type = 'response'").select(F.col("record_id").alias("first_id"), F.col("page_id").alias("first_page")).distinct()
-    key = F.coalesce("refers_to_id", "record_id")  # a response looks up itself, so no null key gathers in one task
-    joined = rows.join(first.hint("shuffle_hash"), key == F.col("first_id"), "left")
-    return joined.select("page_id", "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", F.col("first_page")).alias("refers_to"))
+    # a revisit names its referent's page in its own header, so the archives are read once
+    return records.select(page_id.alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_order").cast("long").alias("refers_to"))
 
 
 @query("op6_distribution_divergence")
