@@ -7,7 +7,7 @@ for a histogram to mean something. Column expressions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dragoman.functions.plan import bind_once
 from dragoman.llm.common import bound_batches, col, through_table
@@ -128,9 +128,9 @@ def _of_language(counts: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def _guessed(words: DataFrame) -> list[str]:
     """Words that make up half of COMMON or more of a language's drawn words, those with the greatest shares first."""
-    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    part = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
-    top = counts.withColumn("part", part).filter(F.col("part") >= COMMON / 2).groupBy("word").agg(F.max("part").alias("part"))
+    counts = through_table(words.filter("lang is not null").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "guesses")
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("size"))
+    top = _of_language(counts, sizes).withColumn("part", F.col("n") / F.col("size")).filter(F.col("part") >= COMMON / 2).groupBy("word").agg(F.max("part").alias("part"))
     return [r["word"] for r in top.orderBy(F.desc("part"), "word").limit(GUESSED).collect()]
 
 
