@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession, functions as F
 from dragoman import dims
 from dragoman.functions import arrays
 from dragoman.functions.plan import through_table
-from dragoman.operators import bpe, evaluate, language, models, planning, progress, refine, scoring, tokens
+from dragoman.operators import bpe, evaluate, language, models, planning, progress, refine, scoring, tokens, training
 from dragoman.plans import views
 from dragoman.plans.queries_refine import COUNTS, counts, filtered, loaded, verified, with_flush
 from dragoman.plans.registry import query
@@ -483,6 +483,15 @@ def n4(spark, sf_dir):
     return spark.createDataFrame(rows, "head string, classes int, features int, train_accuracy double")
 
 
+@query("n4_early_stopped_training")
+def n4_early(spark, sf_dir):
+    """What each epoch gave, and where the rule of ``w1_early_stopping`` stops."""
+    from dragoman.operators.split import stratified_split
+    parts = through_table(stratified_split(through_table(filtered(spark, sf_dir), "filtered"), "example_id", "class_id"), "split")
+    model = training.train_early_stopped(parts.filter("split = 'train'"), parts.filter("split = 'val'"))
+    return evaluate.early_stopping(spark.createDataFrame(model.history))
+
+
 @query("n5_score_two_head")
 def n5(spark, sf_dir):
     model, _ = _fit(spark, sf_dir)
