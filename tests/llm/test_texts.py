@@ -247,7 +247,7 @@ def test_quality_and_licences_of_odd_rows(spark, odd_docs, no_docs):
 
 def test_sql_twins(spark):
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "conversations"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     for name, sql in ORACLES.items():
         want = con.sql(sql)
