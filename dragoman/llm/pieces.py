@@ -21,6 +21,8 @@ from pyspark.sql import Column, SparkSession, functions as F
 SPACE = "▁"
 #: Words, and pairs of tokens, whose result a worker keeps at most; both are filled anew beyond it.
 KEPT_WORDS, KEPT_PAIRS = 200_000, 500_000
+#: Characters of a kept word at most, so that what a worker keeps is bounded in bytes for unspaced text too.
+KEPT_CHARS = 40
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -32,13 +34,15 @@ def model_bytes(path: str) -> bytes:
 
 
 class Words(dict):
-    """Encoded words, computed on first use."""
+    """Encoded words, computed on first use; long ones are computed each time."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        got = self[word] = self.encode(word)
+        got = self.encode(word)
+        if len(word) < KEPT_CHARS:
+            self[word] = got
         return got
 
 
@@ -138,7 +142,7 @@ class Pieces:
         if not self.by_word:
             body = self._pack(SPACE + text.replace(" ", SPACE))
         elif SPACE in text or "" in words:
-            body = b"".join(self.words[w[1:]] if len(w) < 40 and w[1:2] != SPACE else self._pack(w)
+            body = b"".join(self.words[w[1:]] if w[1:2] != SPACE else self._pack(w)
                             for w in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE)))
         else:
             body = b"".join([self.words[w] for w in words])
