@@ -3,6 +3,7 @@
 A passage within e edits of an item of n characters shares at least n - q + 1 - q * e q-grams with it,
 on diagonals at most e apart. Shared q-grams are counted in bands of diagonals that overlap by half, so
 each such passage lies in one band whole; bands that reach the bound are verified by banded alignment.
+Short items, which chance edits would turn into other phrases, are found by equality with an automaton.
 The benchmark is a stated query set: it is cut into blocks of a fixed size, and each block's index is
 broadcast to a pass over all documents.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +22,7 @@ from dragoman.llm.common import bound_batches, col
 Q = 12
 #: Edits allowed for each character of an item; below 1 / Q, so that the bound stays above zero.
 EDIT_RATE = 0.05
-#: Items of fewer normalised characters are not searched: they are ordinary phrases.
+#: Items of fewer normalised characters are found by equality, between borders of words.
 MIN_ITEM_CHARS = 40
 #: Normalised benchmark characters of one block; bounds the broadcast index (about 40 bytes each).
 BLOCK_CHARS = 1 << 20
@@ -44,6 +46,15 @@ def trimmed(text: str) -> np.ndarray:
     return normalised(text.strip())[0]
 
 
+def string_of(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def inside_word(text: str, at: int) -> bool:
+    """Whether the place before character ``at`` lies between two characters of a word."""
+    return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+
+
 def gram_hashes(points: np.ndarray, q: int = Q) -> np.ndarray:
     """A 64-bit hash of each q-gram, joined from hashes of powers of two."""
     base, size, at = points.astype(np.uint64) + np.uint64(1), 1, 0
@@ -71,6 +82,15 @@ class Index:
         self.q = q
         points = [(i, trimmed(t)) for i, t in items]
         self.items = [(i, p) for i, p in points if len(p) >= max(MIN_ITEM_CHARS, q)]
+        short: dict[str, list[int]] = {}
+        for i, p in points:
+            if 0 < len(p) < max(MIN_ITEM_CHARS, q):
+                short.setdefault(string_of(p), []).append(i)
+        self.short = ahocorasick.Automaton() if short else None
+        for text, ids in short.items():
+            self.short.add_word(text, (len(text), ids))
+        if short:
+            self.short.make_automaton()
         self.edits = np.array([int(rate * len(p)) for _, p in self.items], np.int64)
         sizes = np.array([len(p) for _, p in self.items], np.int64)
         self.bound = sizes - q + 1 - q * self.edits
@@ -117,7 +137,19 @@ class Index:
             got = equal(self.items[item][1], points, diagonal, width) or align(self.items[item][1], points, diagonal, width, edits)
             if got and (item not in best or got < best[item]):
                 best[item] = got
-        return [(self.items[i][0], int(places[s]), int(places[e - 1]) + 1, d) for i, (d, s, e) in sorted(best.items())]
+        found = [(self.items[i][0], int(places[s]), int(places[e - 1]) + 1, d) for i, (d, s, e) in sorted(best.items())]
+        return found + [(i, int(places[s]), int(places[e - 1]) + 1, 0) for i, (s, e) in self.short_items(points)]
+
+    def short_items(self, points: np.ndarray) -> list[tuple[int, tuple[int, int]]]:
+        """(item_id, (start, end)): the leftmost passage between borders of words that equals each short item."""
+        if self.short is None:
+            return []
+        text, first = string_of(points), {}
+        for end, (size, ids) in self.short.iter(text):
+            start = end + 1 - size
+            if ids[0] not in first and not inside_word(text, start) and not inside_word(text, end + 1):
+                first.update((i, (start, end + 1)) for i in ids)
+        return sorted(first.items())
 
 
 def equal(item: np.ndarray, text: np.ndarray, diagonal: int, width: int) -> tuple[int, int, int] | None:
@@ -185,8 +217,8 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str =
     """(doc_id, item_id, start, end, edits): for each row of ``docs`` and each item that it holds, the best passage.
 
     Case and runs of white space do not count. Offsets are code points of the row's text, the end is
-    exclusive. Null texts, null ids of items, and items of fewer than ``MIN_ITEM_CHARS`` characters
-    give no row; a row of ``docs`` without an id keeps a null id. Repeated rows stay repeated.
+    exclusive. Items of fewer than ``MIN_ITEM_CHARS`` characters are found where a passage between borders of
+    words equals them. Null texts, null ids of items, and items without a character give no row; a row of ``docs`` without an id keeps a null id. Repeated rows stay repeated.
     """
     if edit_rate >= 1 / q:
         raise ValueError("edit_rate must be below 1 / q")
