@@ -56,8 +56,10 @@ def joined_spans(spans):
 
 @query("op2_secret_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
     from dragoman.llm import secrets
-    found = table(spark, sf_dir, "documents").select("doc_id", secrets.scan(F.col("text")).alias("found"))
+    words = secrets.ranked_words(public_tokenizers.path("piece_bpe_32k.model"))
+    found = table(spark, sf_dir, "documents").select("doc_id", secrets.scan(F.col("text"), words).alias("found"))
     count = lambda kind: F.size(F.filter("found", lambda s: s.kind == kind)).cast("long")
     base = F.filter("found", lambda s: s.kind != "costly")
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),

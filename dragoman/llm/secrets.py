@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import sentencepiece
 from pyspark.sql import Column, functions as F
 
 # fixed patterns: what counts as a base secret; a kind's matches do not overlap
@@ -32,6 +33,9 @@ MIN_VALUE = 8
 #: Decimal logarithm of the guesses from which a value counts as secret: that of ``MIN_VALUE`` characters without a pattern.
 MIN_COST = 8.0
 
+#: Stands for a value that is filled in elsewhere.
+PLACEHOLDER = re.compile(r"(?a:\$\{[^{}]*\}|\$\([^()]*\)|\$[A-Z_][A-Z0-9_]*|\{\{[^{}]*\}\}|\{[\w.]*\}|<[^<>]*>|%\w+%|\[[\w -]+\])")
+
 # fixed values: common password words, the most common first
 WORDS = """
 password 123456 qwerty letmein welcome admin monkey dragon football baseball iloveyou master sunshine princess shadow login
@@ -42,6 +46,8 @@ black white orange purple silver gold star angel baby happy lucky magic power ra
 coffee cookie pepper ginger banana apple cherry flower rainbow diamond crystal thunder storm phoenix knight king queen prince
 correct staple battery the and for you not with this that from your have are was will one two three my new old big
 """.split()
+#: Letters of a vocabulary's word or part of a word, at least: shorter ones are as cheap letter by letter.
+MIN_WORD = 4
 KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("013457@$!", "oieastasi")
 
@@ -54,6 +60,14 @@ DAY = math.log10(365)
 LONGEST_BLOCK = 8           # of a repeated block
 
 
+def ranked_words(model_path: str) -> tuple[str, ...]:
+    """``WORDS``, then the lower-case words and parts of words of a public BPE vocabulary in the order of their merges, which
+    follows their frequency. The list is as long as the vocabulary at most, whatever the corpus, and copies in the corpus do not move it."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    pieces = (sp.id_to_piece(k).removeprefix("▁") for k in range(sp.vocab_size()))
+    return tuple(dict.fromkeys([*WORDS, *(p for p in pieces if len(p) >= MIN_WORD and p.isalpha() and p.islower())]))
+
+
 def _neighbours() -> dict[str, frozenset[str]]:
     place = {c: (r, k) for r, row in enumerate(KEYBOARD) for k, c in enumerate(row)}
     near = lambda a, b: a != b and abs(a[0] - b[0]) <= 1 and abs(a[1] - b[1]) <= 1
@@ -146,11 +160,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def costly_spans(text: str, base: list[tuple[int, int, str]], cost: GuessCost, min_cost: float) -> list[tuple[int, int, str]]:
-    """Values in a credential's place, outside the base spans, whose guess cost is ``min_cost`` or more."""
+    """Values in a credential's place, outside the base spans and no placeholders, whose guess cost is ``min_cost`` or more."""
     out = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(m.lastindex)
-        if end - start >= MIN_VALUE and not any(a <= start and end <= b for a, b, _ in base) and cost(text[start:end]) >= min_cost:
+        if end - start < MIN_VALUE or any(a <= start and end <= b for a, b, _ in base) or PLACEHOLDER.fullmatch(text, start, end):
+            continue
+        if cost(text[start:end]) >= min_cost:
             out.append((start, end, "costly"))
     return out
 
@@ -159,7 +175,7 @@ def scan(text: Column, words: Iterable[str] = WORDS, min_cost: float = MIN_COST)
     """Array of structs (start int, end int, kind string, cost double) of each whole text.
 
     Offsets are code points, the end is exclusive; spans come by start, then by kind in the order of
-    ``KINDS``. ``cost`` is the guess cost of an assigned or costly value, null for the other kinds.
+    ``KINDS``. ``words`` come in the order they are guessed in (see ``ranked_words``). ``cost`` is the guess cost of an assigned or costly value, null for the other kinds.
     Null and empty texts have none. Every row is scanned by itself.
     """
     words = tuple(words)
