@@ -80,6 +80,15 @@ def summary_of(figures: DataFrame) -> DataFrame:
     return rows.agg(*cells)
 
 
+def summary_by_classifier(figures: DataFrame) -> DataFrame:
+    """From ``benchmark`` rows one struct per classifier: right answers, rows that count, all rows, shares and mean latency."""
+    s = summary_of(figures)
+    cells = {c: F.struct(*[F.col(f"{c}_{m}").alias(n) for m, n in (
+        ("correct", "correct"), ("counted", "counted"), ("total", "total"), ("accuracy", "accuracy"),
+        ("coverage_pct", "coverage_pct"))], F.round(f"{c}_avg_latency_ms", 6).alias("avg_latency_ms")) for c in ("main", "regex", "llm")}
+    return s.select(F.col("main_total").alias("test_cases"), *[cell.alias(c) for c, cell in cells.items()])
+
+
 def speedup(judged: DataFrame, floor_ms: float = 0.1) -> DataFrame:
     s = summary_of(benchmark(judged))
     return s.select(F.round(F.col("llm_avg_latency_ms") / F.greatest("main_avg_latency_ms", F.lit(floor_ms)), 4).alias("speedup"))

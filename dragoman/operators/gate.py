@@ -64,19 +64,19 @@ def gate_noise(messages: DataFrame, text: str = "text") -> DataFrame:
 
 def classify_with_gate(messages: DataFrame, score: Callable[[DataFrame], DataFrame],
                        text: str = "text", rule: Callable[[Column], Column] = noise_rule) -> DataFrame:
-    """Gated rows get the fixed answer, only the survivors reach ``score``.
+    """Gated rows get the fixed answer, the others what ``score`` says; one pass over the messages.
 
-    ``score`` gets the surviving rows (text stripped) and must add ``intent_class_id``,
-    ``intent_class_label``, ``resource_class``, ``confidence`` and ``source``. The filter
-    stands before it because Catalyst cannot push one through a Python or ML stage.
+    ``score`` gets all rows, the text stripped, and null where the gate has answered: a model in Python
+    leaves them out (``scoring.score_udf`` with ``skip_nulls``). It must keep every row and column and add
+    ``intent_class_id``, ``intent_class_label``, ``resource_class``, ``confidence`` and ``source``.
+    Whatever else it adds is null in gated rows; these keep their text as it came.
     """
-    stripped = bind_once(messages, {"gate_rule": rule(F.col(text))})
-    gated = stripped.filter(F.col("gate_rule").isNotNull()).withColumns({
-        "intent_class_id": F.lit(FIXED_ANSWER["intent_class_id"]),
-        "intent_class_label": F.lit(FIXED_ANSWER["intent_class_label"]),
-        "resource_class": F.lit(FIXED_ANSWER["resource_class"]),
-        "confidence": F.lit(1.0),
-        "source": F.lit("regex_gate"),
-    })
-    survivors = stripped.filter(F.col("gate_rule").isNull()).withColumn(text, py_strip(F.col(text)))
-    return gated.unionByName(score(survivors), allowMissingColumns=True)
+    ruled = bind_once(messages, {"gate_rule": rule(F.col(text))})
+    open_ = F.col("gate_rule").isNull()
+    rows = ruled.withColumns({"_gate_text": F.col(text), text: F.when(open_, py_strip(F.col(text)))})
+    scored = score(rows)
+    fixed = {**{name: FIXED_ANSWER[name] for name in ("intent_class_id", "intent_class_label", "resource_class")},
+             "confidence": 1.0, "source": "regex_gate"}
+    answers = {name: F.when(open_, F.col(name)).otherwise(F.lit(fixed[name])) if name in fixed else F.when(open_, F.col(name))
+               for name in scored.columns if name not in rows.columns}
+    return scored.withColumns({**answers, text: F.when(open_, F.col(text)).otherwise(F.col("_gate_text"))}).drop("_gate_text")

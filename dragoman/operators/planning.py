@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
 from dragoman.functions.ranking import ROWS_PER_BUCKET, range_of, ranked
@@ -33,8 +33,34 @@ def eligible_pools(counts: DataFrame, pool_class: DataFrame | None = None) -> Da
     return open_pairs.join(counts.select("class_id", "label", "tier", "existing", "target"), "class_id")
 
 
+def plan_pools(counts: DataFrame, pools: DataFrame, pool_class: DataFrame | None = None) -> DataFrame:
+    """Single-class requests of every pool: of its own size, only for classes it may be asked for, each with a language.
+
+    ``pools`` has ``pool`` and ``request_size``; they work side by side. A class's deficit is shared by the
+    pools that may be asked for it in proportion to their sizes, the first pools by name get what does
+    not divide, so together the requests close the deficit and no more. The number of rows is that of
+    the requests; classes and pools are dimensions.
+    """
+    sized = pools.select("pool", F.col("request_size").cast("bigint").alias("request_size")).distinct()
+    pairs = eligible_pools(counts, pool_class).join(F.broadcast(sized), "pool").withColumn("remaining", F.col("target") - F.col("existing"))
+    of_class = Window.partitionBy("class_id")  # a row per pool
+    # what the pools up to and with this one take, less what those before it take
+    upto = F.sum("request_size").over(of_class.orderBy("pool").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = F.sum("request_size").over(of_class)
+    until = lambda n: F.ceil(F.col("remaining") * n / F.col("_whole"))
+    shares = pairs.withColumns({"_upto": upto, "_whole": whole}).withColumn(
+        "share", until(F.col("_upto")) - until(F.col("_upto") - F.col("request_size")))
+    numbered = shares.filter("share > 0").select("pool", "class_id", "label", "tier", "request_size", "share", F.explode(F.sequence(
+        F.lit(1).cast("bigint"), F.ceil(F.col("share") / F.col("request_size")))).alias("request_no"))
+    iso, resource = sample_language(F.col("class_id"), F.concat_ws(":", "pool", F.col("class_id").cast("string"), F.col("request_no").cast("string")))
+    return numbered.select(
+        "pool", "class_id", "label", "tier", "request_no",
+        F.least(F.col("request_size"), F.col("share") - (F.col("request_no") - 1) * F.col("request_size")).alias("size"),
+        iso.alias("language_iso"), resource.alias("resource_class"))
+
+
 def plan_single(counts: DataFrame, batch: int = dims.REQUEST_SIZES["groq"]) -> DataFrame:
-    """Single-class requests that close each deficit: size ``min(batch, rest)``, with a language."""
+    """Single-class requests of one pool that close each deficit: size ``min(batch, rest)``, with a language."""
     open_classes = counts.filter(F.col("existing") < F.col("target")).withColumn(
         "remaining", F.col("target") - F.col("existing"))
     numbered = open_classes.select("class_id", "label", "tier", "remaining", F.explode(

@@ -58,13 +58,14 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     return parsed.select(*kept, F.posexplode_outer("items").alias("item_no", "item"))
 
 
-def verify_items(exploded: DataFrame, intents: DataFrame | None = None) -> DataFrame:
+def verify_items(exploded: DataFrame, intents: DataFrame | None = None, resources: DataFrame | None = None) -> DataFrame:
     """Add the typed fields, ``status`` (valid/discard) and the first failing rule as ``reason``.
 
-    ``expected_class_id`` null means mixed mode. The taxonomy is a broadcast dimension, so a
-    different one is just another DataFrame. Ill-typed values are reasons, never errors.
+    ``expected_class_id`` null means mixed mode. The taxonomy and the resource classes are broadcast
+    dimensions, so different ones are just other DataFrames. Ill-typed values are reasons, never errors.
     """
     intents = dims.dim_intent(exploded.sparkSession) if intents is None else intents
+    resources = dims.dim_resource(exploded.sparkSession) if resources is None else resources
     fields = bind_once(exploded, {
         **{f"_{name}": field(F.col("item"), name) for name in REQUIRED}, "_generated_by": field(F.col("item"), "generated_by")})
     typed = bind_once(fields, {
@@ -79,6 +80,8 @@ def verify_items(exploded: DataFrame, intents: DataFrame | None = None) -> DataF
     dim = intents.select(F.col("class_id").cast("bigint").alias("class_id"),
                          F.col("label").alias("class_label"), F.col("tier").alias("class_tier"))
     joined = typed.join(F.broadcast(dim), "class_id", "left")
+    known = resources.select(F.col("resource_class").alias("item_resource"), F.lit(True).alias("_known_resource")).distinct()
+    joined = joined.join(F.broadcast(known), "item_resource", "left")
     reason = (F.when(F.col("answer_reason").isNotNull(), F.col("answer_reason"))
               .when(F.coalesce(F.col("_item_kind"), F.lit("VOID")) != "OBJECT", "not_an_object"))
     for name in REQUIRED:
@@ -92,15 +95,15 @@ def verify_items(exploded: DataFrame, intents: DataFrame | None = None) -> DataF
               "class_id_mismatch")
         .when(~F.coalesce(F.col("item_label") == F.col("class_label"), F.lit(False)), "label_mismatch")
         .when(F.coalesce(py_strip(F.col("item_iso")), F.lit("")) == "", "bad_language")
-        .when(~F.coalesce(F.col("item_resource").isin(dims.RESOURCES), F.lit(False)), "bad_resource")
+        .when(F.col("_known_resource").isNull(), "bad_resource")
     )
     checked = bind_once(joined, {"reason": reason})
     return checked.withColumn("status", F.when(F.col("reason").isNull(), "valid").otherwise("discard")).drop(
-        *[f"_{name}" for name in REQUIRED], "_generated_by", "_item_kind")
+        *[f"_{name}" for name in REQUIRED], "_generated_by", "_item_kind", "_known_resource")
 
 
-def verify_responses(responses: DataFrame, intents: DataFrame | None = None) -> DataFrame:
-    return verify_items(explode_items(parse_responses(responses)), intents)
+def verify_responses(responses: DataFrame, intents: DataFrame | None = None, resources: DataFrame | None = None) -> DataFrame:
+    return verify_items(explode_items(parse_responses(responses)), intents, resources)
 
 
 def normalize_items(verified: DataFrame, keep: list[str] | None = None) -> DataFrame:

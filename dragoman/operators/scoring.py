@@ -87,19 +87,22 @@ def batch_summary(status: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def score_udf(rows: DataFrame, load_model: Callable[[], Callable[[pd.Series], tuple[np.ndarray, np.ndarray]]],
-              text: str = "text") -> DataFrame:
+              text: str = "text", skip_nulls: bool = False) -> DataFrame:
     """Score texts with any user model, Arrow batch by Arrow batch.
 
     ``load_model`` runs once per Python worker task and returns a function from a Series of
-    texts to two logit matrices (n x intents, n x resources). Adds ``la`` and ``lb``.
+    texts to two logit matrices (n x intents, n x resources). Adds ``la`` and ``lb``. With
+    ``skip_nulls`` the model never sees a null text, whose logits are then null.
     """
     @F.pandas_udf("la array<double>, lb array<double>")
     def logits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load_model()
         for texts in batches:
-            intent, resource = model(texts)
-            yield pd.DataFrame({"la": list(np.asarray(intent, dtype=float)),
-                                "lb": list(np.asarray(resource, dtype=float))})
+            given, out = texts.notna().to_numpy() | (not skip_nulls), pd.DataFrame({"la": [None] * len(texts), "lb": [None] * len(texts)}, dtype=object)
+            if given.any():
+                for name, logit in zip(("la", "lb"), model(texts[given])):
+                    out.loc[given, name] = pd.Series(list(np.asarray(logit, dtype=float)), index=out.index[given], dtype=object)
+            yield out
 
     return rows.withColumn("_logits", logits(F.col(text))).select(
         *rows.columns, F.col("_logits.la").alias("la"), F.col("_logits.lb").alias("lb"))

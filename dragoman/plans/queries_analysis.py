@@ -136,6 +136,29 @@ def s7(spark, sf_dir):
     return sinks.benchmark_report(overall, evaluate.categories_of(figures), "2024-02-01T00:00:00Z")
 
 
+@query("s7_benchmark_files", with_views(
+    "SELECT 'case' AS kind, classifier, case_id, category, expected_label AS expected, label AS answer, correct, latency_ms, "
+    "NULL::BIGINT AS n_correct, NULL::BIGINT AS n_counted, NULL::BIGINT AS n_total, NULL::DOUBLE AS accuracy, NULL::DOUBLE AS avg_latency_ms FROM judged UNION ALL "
+    "SELECT 'overall', classifier, NULL, NULL, NULL, NULL, NULL, NULL, correct, counted, total, accuracy, round(avg_latency_ms, 6) "
+    f"FROM ({_BENCH}) WHERE category IS NULL", "judged"))
+def s7_files(spark, sf_dir):
+    """The report and all cases, written and read back."""
+    rows = through_table(judged(spark, sf_dir), "judged")
+    figures = through_table(evaluate.benchmark(rows), "benchmark")
+    folder, overall = shared_folder(spark, "report"), evaluate.summary_by_classifier(figures)
+    sinks.write_benchmark(folder, sinks.benchmark_report(overall, evaluate.categories_of(figures), "2024-02-01T00:00:00Z"), rows)
+    cases = spark.read.schema("classifier string, case_id long, category string, expected string, answer string, correct boolean, latency_ms double").json(f"{folder}/cases")
+    report = spark.read.text(f"{folder}/report").select(F.from_json("value", f"overall struct<{', '.join(f'{c}: {_FIGURES}' for c in ('main', 'regex', 'llm'))}>").alias("r"))
+    parts = F.array(*[F.struct(F.lit(c).alias("classifier"), F.col(f"r.overall.{c}").alias("f")) for c in ("main", "regex", "llm")])
+    whole = report.select(F.explode(parts).alias("p")).select(
+        F.lit("overall").alias("kind"), "p.classifier", F.col("p.f.correct").alias("n_correct"), F.col("p.f.counted").alias("n_counted"),
+        F.col("p.f.total").alias("n_total"), "p.f.accuracy", "p.f.avg_latency_ms")
+    return cases.withColumn("kind", F.lit("case")).unionByName(whole, allowMissingColumns=True)
+
+
+_FIGURES = "struct<correct: bigint, counted: bigint, total: bigint, accuracy: double, avg_latency_ms: double>"
+
+
 @query("a14_speedup", with_views(
     "SELECT round(max(avg_latency_ms) FILTER (classifier = 'llm') / greatest(max(avg_latency_ms) FILTER (classifier = 'main'), 0.1), 4) AS speedup "
     f"FROM ({_BENCH}) WHERE category IS NULL", "judged"))
@@ -262,6 +285,25 @@ def b1(spark, sf_dir):
     return planning.plan_single(counts(spark, sf_dir))
 
 
+_POOL_SIZES = " UNION ALL ".join(
+    f"SELECT {lit(pool)} AS pool, {dims.REQUEST_SIZES[pool]} AS request_size, [{', '.join(lit(t) for t in tiers)}] AS tiers, "
+    f"{'NULL' if only is None else only}::INT[] AS only_ids, {never}::INT[] AS never_ids" for pool, tiers, only, never in dims.POOL_RULES)
+_POOL_KEY = bucket("pool || ':' || class_id || ':' || n")
+
+
+@query("b1_plan_pools", with_views(
+    "SELECT pool, class_id, label, tier, n AS request_no, least(request_size, share - (n - 1) * request_size)::BIGINT AS size, "
+    + pick_language("class_id", _POOL_KEY, 0) + " AS language_iso, " + pick_language("class_id", _POOL_KEY, 1) + " AS resource_class FROM ("
+    "SELECT *, (ceil(remaining * upto / whole::DOUBLE) - ceil(remaining * (upto - request_size) / whole::DOUBLE))::BIGINT AS share FROM ("
+    "SELECT pool, request_size, c.class_id, c.label, c.tier, target - existing AS remaining, sum(request_size) OVER (PARTITION BY c.class_id ORDER BY pool) AS upto, "
+    f"sum(request_size) OVER (PARTITION BY c.class_id) AS whole FROM {COUNTS} c JOIN ({_POOL_SIZES}) ON list_contains(tiers, c.tier) "
+    "AND (only_ids IS NULL OR list_contains(only_ids, c.class_id)) AND NOT list_contains(never_ids, c.class_id) WHERE existing < target)), "
+    "unnest(range(1, ceil(share / request_size::DOUBLE)::BIGINT + 1)) AS u(n) WHERE share > 0", "filtered"))
+def b1_pools(spark, sf_dir):
+    pools = spark.createDataFrame(list(dims.REQUEST_SIZES.items()), "pool string, request_size int")
+    return planning.plan_pools(through_table(counts(spark, sf_dir), "counts"), pools)
+
+
 _ELIGIBLE = f"(SELECT class_id, label FROM {COUNTS} WHERE existing < target)"
 _SAMPLED = (
     "SELECT request_id, class_id, label, place FROM (SELECT request_id, class_id, label, row_number() OVER (PARTITION BY request_id ORDER BY md5('42|' || request_id || '|' || class_id), class_id) AS place "

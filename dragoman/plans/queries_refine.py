@@ -131,6 +131,15 @@ def p1(spark, sf_dir):
     return gate.gate_empty(views.utterances(spark, sf_dir)).drop("ts", "user_id", "k", "value", "text")
 
 
+@query("p1_gate_null_texts", with_views(
+    "SELECT msg_id, gated, CASE WHEN gated THEN 'noise_gibberish' END AS intent_class_label, CASE WHEN gated THEN 'drop' END AS routing_action "
+    "FROM (SELECT msg_id, msg_id % 5 = 0 OR s = '' AS gated FROM stripped)", "stripped"))
+def p1_null(spark, sf_dir):
+    """Every fifth message has lost its text."""
+    rows = views.utterances(spark, sf_dir).select("msg_id", F.when(F.col("msg_id") % 5 != 0, F.col("text")).alias("text"))
+    return gate.gate_empty(rows).select("msg_id", "gated", "intent_class_label", "routing_action")
+
+
 @query("p2_gate_noise", with_views("SELECT msg_id, gate_rule FROM gate", "gate"))
 def p2(spark, sf_dir):
     return gate.gate_noise(views.utterances(spark, sf_dir)).select("msg_id", "gate_rule")
@@ -431,6 +440,24 @@ def a16(spark, sf_dir):
     return progress.class_adequacy(counts(spark, sf_dir), 200, 400, 800)
 
 
+@query("a16_taxonomy_width",
+    "SELECT taxonomy, class_id, label, existing, CASE WHEN existing < 40 THEN 'too_small' WHEN existing < 80 THEN 'thin' WHEN existing < 160 THEN 'fair' ELSE 'good' END AS size_flag, "
+    "CASE WHEN count(*) OVER (PARTITION BY taxonomy) < 8 THEN 'too_few_classes' WHEN count(*) OVER (PARTITION BY taxonomy) > 25 THEN 'too_many_classes' ELSE 'ok' END AS taxonomy_flag FROM ("
+    "SELECT 'type' AS taxonomy, min(event_id)::BIGINT AS class_id, event_type AS label, count(*) AS existing FROM events GROUP BY event_type UNION ALL "
+    "SELECT 'day', extract(day FROM ts)::BIGINT, 'day ' || extract(day FROM ts), count(*) FROM events GROUP BY ALL UNION ALL "
+    "SELECT 'user', user_id % 12, 'user ' || user_id % 12, count(*) FROM events GROUP BY ALL)")
+def a16_width(spark, sf_dir):
+    """Taxonomies of one's own over the events: too narrow, too wide and right."""
+    events, n = views.table(spark, sf_dir, "events"), F.count(F.lit(1)).alias("existing")
+    day, user = F.dayofmonth("ts").cast("long"), (F.col("user_id") % 12).cast("long")
+    taxonomies = {
+        "type": events.groupBy(F.col("event_type").alias("label")).agg(F.min("event_id").cast("long").alias("class_id"), n),
+        "day": events.groupBy(day.alias("class_id")).agg(n).withColumn("label", F.concat(F.lit("day "), F.col("class_id").cast("string"))),
+        "user": events.groupBy(user.alias("class_id")).agg(n).withColumn("label", F.concat(F.lit("user "), F.col("class_id").cast("string")))}
+    parts = [progress.class_adequacy(rows, 40, 80, 160).select(F.lit(name).alias("taxonomy"), "*") for name, rows in taxonomies.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --- joins --------------------------------------------------------------------------------------
 @query("j1_inner_lookup", with_views(
     "SELECT event_id, d.class_id, d.label, d.tier FROM events JOIN dim_intent d ON d.class_id = event_id % 25", "dim_intent"))

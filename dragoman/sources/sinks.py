@@ -33,3 +33,16 @@ def benchmark_report(overall: DataFrame, by_category: DataFrame, run_at: str) ->
         "category", *[c for c in by_category.columns if c != "category"])))).scalar()
     whole = overall.select(F.struct(*overall.columns).alias("overall"), categories.alias("by_category"))
     return whole.select(F.to_json(F.struct(F.lit(run_at).alias("run_at"), "overall", "by_category")).alias("report"))
+
+
+def write_benchmark(folder: str, report: DataFrame, judged: DataFrame) -> list[str]:
+    """The report's one row as ``report``, and every judged case of every classifier as JSON lines in ``cases``.
+
+    A case's row says what each classifier answered, whether it was right, and how long it took. The
+    cases are written where they lie: no case passes the driver, and none is part of the summary.
+    """
+    report.write.mode("overwrite").text(f"{folder}/report")
+    cases = judged.select("case_id", "category", "classifier", F.col("expected_label").alias("expected"), F.col("label").alias("answer"),
+                          F.col("correct"), "matched", "error", "latency_ms")
+    cases.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/cases")
+    return ["report", "cases"]
