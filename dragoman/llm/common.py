@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dragoman.functions.plan import through_table
-
-#: Bytes of one Arrow batch sent to a Python worker; long texts make batches of fewer rows.
-BATCH_BYTES = 8 << 20
+from dragoman.session import BATCH_BYTES, bound_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that do not clash with those of ``df`` (compared without regard to case)."""
     taken, out = {c.lower() for c in df.columns}, []

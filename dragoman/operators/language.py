@@ -10,40 +10,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from dragoman import dims
 from dragoman.functions.text import py_strip
+from dragoman.session import bound_batches
 
 BUCKETS = 4096
 MIN_DISTANCE = 0.1
+#: Bytes of texts turned into numbers at once, which take about fifty times as much.
+PART_BYTES = 1 << 20
 # fixed values: scripts that decide on their own
 SCRIPTS = [("ar", "\u0600-\u06ff"), ("hi", "\u0900-\u097f"), ("zh", "\u4e00-\u9fff")]
 
 
-def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the adjacent character pairs of all texts end to end, and the pairs of each text."""
-    known = [t or "" for t in texts.to_pylist()]
-    points = np.frombuffer("".join(known).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    lengths = np.array([len(t) for t in known], np.int64)
-    pairs = (points[:-1] * 31 + points[1:]) % BUCKETS
-    inside = np.ones(len(points), bool)
-    inside[np.cumsum(lengths)[lengths > 0] - 1] = False  # the last character has no successor
-    return pairs[inside[:-1]] if len(points) else pairs, np.maximum(lengths - 1, 0)
+def _parts(texts: pa.Array, size: int = PART_BYTES) -> Iterator[tuple[int, int]]:
+    """Rows [first, last) of neighbouring texts of about ``size`` bytes together; a longer text is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        begun = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, begun + size, "right")))
+        yield first, last
+        first = last
+
+
+def _buckets(texts: pa.Array, size: int = PART_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, buckets of the adjacent character pairs of some texts end to end, pairs of each of them).
+
+    What is held at once is bounded by ``size``, whatever the batch: a longer text comes in pieces.
+    """
+    for first, last in _parts(texts, size):
+        known = [t or "" for t in texts.slice(first, last - first).to_pylist()]
+        pieces = [known] if last - first > 1 else [[known[0][k:k + size + 1]] for k in range(0, max(len(known[0]) - 1, 1), size)]
+        for piece in pieces:  # pieces of a text share a character, so that no pair is lost
+            points = np.frombuffer("".join(piece).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+            lengths = np.array([len(t) for t in piece], np.int64)
+            pairs = (points[:-1] * 31 + points[1:]) % BUCKETS
+            inside = np.ones(len(points), bool)
+            inside[np.cumsum(lengths)[lengths > 0] - 1] = False  # the last character has no successor
+            yield first, pairs[inside[:-1]] if len(points) else pairs, np.maximum(lengths - 1, 0)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang = batch.column("lang").dictionary_encode("encode")
-        pairs, sizes = _buckets(batch.column("text"))
-        key = np.repeat(lang.indices.to_numpy().astype(np.int64), sizes) * BUCKETS + pairs
-        seen, n = np.unique(key, return_counts=True)
-        yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(seen // BUCKETS)).cast(pa.string()), pa.array(seen % BUCKETS, pa.int32()), pa.array(n, pa.int64())],
-                                         ["lang", "bucket", "n"])
+        number = lang.indices.to_numpy().astype(np.int64)
+        for first, pairs, sizes in _buckets(batch.column("text")):
+            key = np.repeat(number[first:first + len(sizes)], sizes) * BUCKETS + pairs
+            seen, n = np.unique(key, return_counts=True)
+            yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(seen // BUCKETS)).cast(pa.string()), pa.array(seen % BUCKETS, pa.int32()), pa.array(n, pa.int64())],
+                                             ["lang", "bucket", "n"])
 
 
 def bigram_counts(texts: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """Counts per language and bucket; at most languages x buckets rows, counted batch by batch before the shuffle."""
+    bound_batches(texts.sparkSession)
     rows = texts.select(F.col(lang).cast("string").alias("lang"), F.lower(text).alias("text"))
     return rows.mapInArrow(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
@@ -66,18 +89,22 @@ def with_language_scores(texts: DataFrame, profile: DataFrame, text: str = "text
     The whole profile, languages x buckets numbers, travels with the task: a batch of texts gathers its
     log shares and sums them by text. No row per character, no join, no shuffle.
     """
+    bound_batches(texts.sparkSession)
     rows = profile.orderBy("lang").collect()
     shared = texts.sparkSession.sparkContext.broadcast(([r["lang"] for r in rows], np.array([r["logp"] for r in rows]).reshape(len(rows), BUCKETS)))
 
     @F.arrow_udf("array<struct<lang:string,score:double>>")
     def scores(batch: pa.Array) -> pa.Array:
         langs, logp = shared.value
-        pairs, sizes = _buckets(batch)
-        filled, found = sizes > 0, np.zeros((len(langs), len(batch)))
-        starts = (np.cumsum(sizes) - sizes)[filled]
-        for known, mean in zip(logp, found):
-            if len(starts):
-                mean[filled] = np.add.reduceat(known[pairs], starts) / sizes[filled]
+        found, total = np.zeros((len(langs), len(batch))), np.zeros(len(batch), np.int64)
+        for first, pairs, sizes in _buckets(batch):
+            filled = np.flatnonzero(sizes)
+            starts = (np.cumsum(sizes) - sizes)[filled]
+            total[first + filled] += sizes[filled]
+            for known, likelihood in zip(logp, found):
+                if len(starts):
+                    likelihood[first + filled] += np.add.reduceat(known[pairs], starts)
+        found /= np.maximum(total, 1)
         best = np.argsort(-found, axis=0, kind="stable").T.ravel()  # ties go by language
         at = np.repeat(np.arange(len(batch)), len(langs))
         ranked = pa.StructArray.from_arrays([pa.array(langs, pa.string()).take(pa.array(best)), pa.array(found[best, at])], ["lang", "score"])
