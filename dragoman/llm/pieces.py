@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -19,11 +20,15 @@ import sentencepiece
 from pyspark.sql import Column, SparkSession, functions as F
 
 SPACE = "▁"
-#: Words, and pairs of tokens, whose result a worker keeps at most; both are filled anew beyond it.
-KEPT_WORDS, KEPT_PAIRS = 200_000, 500_000
+#: Words, and pairs of tokens, whose result a worker keeps at most. Words not seen while half of them came are let go;
+#: pairs are filled anew beyond it.
+KEPT_WORDS, KEPT_PAIRS = 400_000, 500_000
 #: Characters of a kept word at most, so that what a worker keeps is bounded in bytes for unspaced text too.
 KEPT_CHARS = 40
 
+#: Ids as little-endian unsigned 32-bit integers, by their number.
+_U4 = [struct.Struct(f"<{n}I") for n in range(KEPT_CHARS)]
+
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
@@ -34,17 +39,29 @@ def model_bytes(path: str) -> bytes:
 
 
 class Words(dict):
-    """Encoded words, computed on first use; long ones are computed each time."""
+    """Encoded words, computed on first use; long ones are computed each time.
+
+    The words of the generation before are kept beside: one that is met again moves over, the others go with the next change.
+    """
 
     def __init__(self, encode: Callable[[str], bytes]):
-        self.encode = encode
+        self.encode, self.before = encode, {}
 
     def __missing__(self, word: str) -> bytes:
-        got = self.encode(word)
-        if len(word) < KEPT_CHARS:
-            self[word] = got
+        got = self.before.get(word)
+        if got is None:
+            got = self.encode(word)
+            if len(word) >= KEPT_CHARS:
+                return got
+        self[word] = got
         return got
 
+    def aged(self) -> None:
+        """Starts a new generation when this one has its share of words."""
+        if len(self) > KEPT_WORDS // 2:
+            self.before = dict(self)
+            self.clear()
+
 
 class Pieces:
     """Encoder and decoder of a BPE model with byte fallback, identity normalisation and a dummy prefix."""
@@ -72,7 +89,7 @@ class Pieces:
             self.ends.add_word(p, k)
         self.ends.make_automaton()
         self.size = [len(p) for p in self.piece]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left * pieces + right
         self.own: dict[int, bool] = {}
         self.words = Words(lambda word: self._pack(SPACE + word))
 
@@ -99,28 +116,32 @@ class Pieces:
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
         a, b = self.piece[left], self.piece[right]
-        got = self.pairs[left, right] = self._is_own(right) and self.merged(a + b) == [a, b]
+        got = self.pairs[left * len(self.piece) + right] = self._is_own(right) and self.merged(a + b) == [a, b]
         return got
 
     def table(self, text: str) -> list[int]:
         """At k the last token of the encoding of text[:k + 1]; -1 for a character without a piece."""
-        last, size, pairs, at = [-1] * len(text), self.size, self.pairs, -1
+        last, size, known, own, at = [-1] * len(text), self.size, self.pairs.get, self.own.get, -1
+        n = len(size)
         for end, token in self.ends.iter(text):
             if end == at:
                 continue  # the longer piece that ends here was the one
             before = end - size[token]
-            if before < 0 or last[before] < 0:
-                fits = self._is_own(token)
+            left = last[before] if before >= 0 else -1
+            if left < 0:
+                fits = own(token)
+                if fits is None:
+                    fits = self._is_own(token)
             else:
-                fits = pairs.get((last[before], token))
+                fits = known(left * n + token)
                 if fits is None:
-                    fits = self.compatible(last[before], token)
+                    fits = self.compatible(left, token)
             if fits:
                 last[end], at = token, end
         return last
 
     def _pack(self, text: str) -> bytes:
-        last, out, k = self.table(text), [], len(text) - 1
+        last, out, k, size = self.table(text), [], len(text) - 1, self.size
         while k >= 0:
             token = last[k]
             if token < 0:
@@ -128,16 +149,16 @@ class Pieces:
                 k -= 1
             else:
                 out.append(token)
-                k -= len(self.piece[token])
-        return np.array(out[::-1], "<u4").tobytes()
+                k -= size[token]
+        out.reverse()
+        return _U4[len(out)].pack(*out) if len(out) < len(_U4) else np.array(out, "<u4").tobytes()
 
     def encode(self, text: str | None, add_ends: bool = True) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         ends = [np.array([k], "<u4").tobytes() if add_ends else b"" for k in (self.bos, self.eos)]
         if not text:
             return b"".join(ends)
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
+        self.words.aged()
         words = text.split(" ")
         if not self.by_word:
             body = self._pack(SPACE + text.replace(" ", SPACE))
