@@ -176,6 +176,15 @@ def links(fingerprints: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS
         depth += 1
 
 
+def components(groups: DataFrame, radius: int = 2) -> DataFrame:
+    """``groups`` (distinct ``fp``, other columns) with ``component``: a value common to all fingerprints reachable over links of ``radius`` or less.
+
+    ``groups`` is a stored table, as it is read several times.
+    """
+    component = connected_components(links(groups.select("fp"), radius))
+    return groups.join(component.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     radius: int = 2) -> DataFrame:
     """One row per row of ``docs``: (id, fingerprint of 16 hex digits, component_id).
@@ -188,10 +197,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bound_batches(docs.sparkSession)
     marked = through_table(docs.select(col(id_col).alias("doc_id"), fingerprint(col(text_col), shingle_words).alias("fp")), "fingerprints")
     groups = through_table(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "groups")
-    component = connected_components(links(groups.select("fp"), radius))
-    named = groups.join(component.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    named = through_table(named, "named")
+    named = through_table(components(groups, radius), "named")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_fp = named.join(least, "component").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(
