@@ -21,6 +21,16 @@ def bind_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] =
     return once.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in columns])
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by ``key`` to all cores, in a number of partitions that AQE leaves alone.
+
+    For few bytes that become many rows, or much work: AQE goes by the bytes and would put them into one task.
+    """
+    spark = df.sparkSession
+    n = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, F.xxhash64(f"`{key}`"))  # by the bare key it would be left out after a distinct
+
+
 def through_table(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

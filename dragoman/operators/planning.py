@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dragoman import dims
+from dragoman.functions.plan import bind_once
 from dragoman.functions.ranking import ROWS_PER_BUCKET, range_of, ranked
 from dragoman.functions.text import hash_bucket
 
@@ -105,8 +106,9 @@ def plan_slots(allocated: DataFrame, request_id: str = "request_id") -> DataFram
     slots = allocated.select(request_id, "place", "class_id", "label", F.explode(
         F.sequence(F.lit(1).cast("bigint"), F.col("quantity"))).alias("slot"))
     key = F.concat_ws(":", *[F.col(c).cast("string") for c in (request_id, "class_id", "slot")])
-    iso, resource = sample_language(F.col("class_id"), key)
-    return slots.select(request_id, "place", "class_id", "label", "slot",
+    drawn = bind_once(slots, {"_draw": hash_bucket(key, "42")})  # else each language compared draws anew
+    iso, resource = language_of(F.col("class_id"), F.col("_draw"))
+    return drawn.select(request_id, "place", "class_id", "label", "slot",
                         iso.alias("language_iso"), resource.alias("resource_class"))
 
 

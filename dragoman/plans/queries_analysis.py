@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from dragoman import dims
 from dragoman.functions import arrays
-from dragoman.functions.plan import through_table
+from dragoman.functions.plan import spread, through_table
 from dragoman.operators import bpe, evaluate, language, models, planning, progress, refine, scoring, tokens, training
 from dragoman.plans import views
 from dragoman.plans.queries_refine import COUNTS, counts, filtered, loaded, verified, with_flush
@@ -317,7 +317,7 @@ def eligible(spark, sf_dir):
 
 
 def sampled(spark, sf_dir, open_classes):
-    requests = views.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("request_id")).distinct()
+    requests = spread(views.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("request_id")).distinct(), "request_id")
     labels = dims.dim_intent(spark).select("class_id", "label")
     return planning.sample_k_classes(requests, open_classes).join(F.broadcast(labels), "class_id")
 
