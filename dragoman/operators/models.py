@@ -15,11 +15,12 @@ from dragoman.operators import evaluate
 
 @dataclass(frozen=True)
 class TwoHeadModel:
-    """Shared text features and one linear classifier per head."""
+    """Shared text features, one linear classifier per head, and their accuracy in training if asked for."""
 
     features: PipelineModel
     intent: object
     resource: object
+    accuracy: list[float] | None = None
 
 
 def feature_stages(word_features: int, char_features: int) -> list:
@@ -43,11 +44,11 @@ def balance(examples: DataFrame, label: str, out: str) -> DataFrame:
 
 
 def train_two_head(examples: DataFrame, word_features: int = 1 << 14, char_features: int = 1 << 14,
-                   max_iter: int = 30, reg: float = 1e-4) -> TwoHeadModel:
-    """Fit both heads on ``text, intent_label, resource_label``.
+                   max_iter: int = 30, reg: float = 1e-4, accuracy: bool = False) -> TwoHeadModel:
+    """Fit both heads on ``text, intent_label, resource_label``; with ``accuracy`` on the training rows too.
 
     L-BFGS over partitioned data; the gradient is tree-aggregated and its size depends on
-    features x classes only. The feature table is persisted over the iterations.
+    features x classes only. The feature table is persisted over the iterations and what is asked of the fits' summaries.
     """
     examples = examples.select("text", "intent_label", "resource_label").persist()
     features = Pipeline(stages=feature_stages(word_features, char_features)).fit(examples)
@@ -59,9 +60,10 @@ def train_two_head(examples: DataFrame, word_features: int = 1 << 14, char_featu
                            probabilityCol=f"_prob_{head}", predictionCol=f"_pred_{head}").fit(table)
         for head in ("intent", "resource")
     ]
+    reached = [float(head.summary.accuracy) for head in heads] if accuracy else None  # a pass over the table, while it is there
     table.unpersist()
     examples.unpersist()
-    return TwoHeadModel(features, *heads)
+    return TwoHeadModel(features, *heads, reached)
 
 
 def score_two_head(model: TwoHeadModel, rows: DataFrame) -> DataFrame:

@@ -509,19 +509,19 @@ def n8(spark, sf_dir):
 
 
 # --- models --------------------------------------------------------------------------------------------
-def _fit(spark, sf_dir):
+def _fit(spark, sf_dir, **named):
     from dragoman.operators.split import stratified_split
     rows = through_table(filtered(spark, sf_dir), "filtered")
     parts = stratified_split(rows, "example_id", "class_id")
     train = parts.filter(F.col("split") == "train")
-    return models.train_two_head(train), parts
+    return models.train_two_head(train, **named), parts
 
 
 @query("n4_train_two_head")
 def n4(spark, sf_dir):
-    model, _ = _fit(spark, sf_dir)
-    rows = [(head, int(m.numClasses), int(m.numFeatures), float(m.summary.accuracy))
-            for head, m in (("intent", model.intent), ("resource", model.resource))]
+    model, _ = _fit(spark, sf_dir, accuracy=True)
+    rows = [(head, int(m.numClasses), int(m.numFeatures), accuracy)
+            for head, m, accuracy in zip(("intent", "resource"), (model.intent, model.resource), model.accuracy)]
     return spark.createDataFrame(rows, "head string, classes int, features int, train_accuracy double")
 
 
