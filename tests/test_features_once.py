@@ -32,6 +32,13 @@ def test_nothing_stays_persisted(spark):
     assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) <= before
 
 
+def test_evaluation_scores_a_row_once(spark):
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    found = models.evaluate_split(models.train_two_head(rows, 64, 64, max_iter=3), rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_chars" not in plan and "parquet" in plan and found.first()["accuracy_intent"] == 1.0
+
+
 def test_every_code_point_separates_words_as_python_says(spark):
     points = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
     texts = [f"a{chr(c)}b" for c in points] + ["é你  　\U0001F600x \x85", "", " ", "　"]
