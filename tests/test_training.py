@@ -59,3 +59,19 @@ def test_partitions_do_not_matter_and_empty_parts_pass(spark, parts):
     assert np.allclose(runs[0].weights, runs[1].weights) and runs[0].weights.any()
     odd = training.score(runs[0], spark.createDataFrame([(None, 1), ("", 2)], "text string, la int")).collect()
     assert [len(r["la"]) for r in odd] == [22, 22] and [len(r["lb"]) for r in odd] == [5, 5]
+
+
+def test_validation_texts_are_counted_once_for_all_epochs(spark, parts, model):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+    some = parts.filter("split = 'val'").select("text", "intent_label", "resource_label")
+    trained = training.train_early_stopped(some, some.withColumn("text", seen("text")), max_epochs=2, words=64, trigrams=64)
+    assert len(trained.history) == 2 and read.value == some.count()
+    best = max(trained.history, key=lambda h: h["val_f1"])
+    assert training.measured(trained, some)["loss"] == pytest.approx(best["val_loss"])  # counted or not, the same logits
+    sparse = training.score_sparse(model, training.sparse_rows(some, 1, 1 << 10, 1 << 10)).select("la", "lb").collect()
+    assert sorted(map(str, sparse)) == sorted(map(str, training.score(model, some).select("la", "lb").collect()))
