@@ -13,19 +13,21 @@ pairs to their places and a queue kept up to date, and the result of each piece
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from dragoman import dims
 from dragoman.functions.plan import through_table
 from dragoman.operators.tokens import byte_alphabet, byte_level_tokens
 
 #: Symbols of a window's distinct pieces at most; this bounds what the driver holds.
-WINDOW_SYMBOLS = 1_000_000
+WINDOW_SYMBOLS = 2_000_000
 #: Active pairs of a window at most.
 WINDOW_PAIRS = 1 << 16
 #: Symbols of encoded words that a task keeps; the store is emptied beyond it.
@@ -62,22 +64,23 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(values, pa.int32()))
 
 
+def _bytes(words: pa.Array) -> np.ndarray:
+    return np.frombuffer("".join(words.to_pylist()).encode(), np.uint8)
+
+
 def _spell(ids: np.ndarray):
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [w.encode() for w in batch.column("word").to_pylist()]
-            lengths = np.array([len(w) for w in words], np.int64)
-            keep = lengths > 1
-            data = np.frombuffer(b"".join(w for w, k in zip(words, keep) if k), np.uint8)
-            yield pa.RecordBatch.from_arrays([_lists(ids[data], lengths[keep]), batch.column("n").filter(pa.array(keep))], ["symbols", "n"])
+            lengths = pc.binary_length(batch.column("word")).to_numpy(zero_copy_only=False).astype(np.int64)
+            longer = batch.filter(pa.array(lengths > 1))
+            yield pa.RecordBatch.from_arrays([_lists(ids[_bytes(longer.column("word"))], lengths[lengths > 1]), longer.column("n")], ["symbols", "n"])
     return spell
 
 
 def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = np.zeros(256, bool)
     for batch in batches:
-        for word in batch.column("word").to_pylist():
-            seen[np.frombuffer(word.encode(), np.uint8)] = True
+        seen[_bytes(batch.column("word"))] = True
     yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int32())], ["byte"])
 
 
@@ -115,20 +118,47 @@ def _cut(active: np.ndarray):
     return cut
 
 
+def _hashes(symbols: np.ndarray, first: np.ndarray, length: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit number of each piece: mixed symbols times powers of an odd number by their place, summed."""
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    start = np.cumsum(length) - length
+    place = np.arange(length.sum()) - np.repeat(start, length)
+    mixed = (symbols[np.repeat(first, length) + place].astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    powers = np.cumprod(np.full(length.max(), 0x94D049BB133111EB, np.uint64))
+    return np.add.reduceat(mixed * powers[place], start)
+
+
+def _result_table(symbols: np.ndarray, length: np.ndarray, merged: np.ndarray, after: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Seed, sorted numbers of the pieces, and start, size and symbols of their results. No two pieces have one number."""
+    first, seed = np.cumsum(length) - length, 1
+    while True:
+        numbers = _hashes(symbols, first, length, seed)
+        order = np.argsort(numbers)
+        if not (np.diff(numbers[order]) == 0).any():
+            return seed, numbers[order], (np.cumsum(after) - after)[order], after[order], merged
+        seed += 1 << 32
+
+
 def _replace(active: np.ndarray, results):
     """Words with every piece replaced by its merged symbols; words of one symbol go."""
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = results.value
+        seed, numbers, starts, sizes, merged = results.value
         for batch in batches:
             symbols, word = _flat(batch.column("symbols"))
             first, length = _pieces(symbols, word, active)
-            longer, data = length > 1, symbols.astype("<i4").tobytes()
-            merged = [table[data[4 * a:4 * (a + n)]] for a, n in zip(first[longer].tolist(), length[longer].tolist())]
+            longer = length > 1
+            wanted = _hashes(symbols, first[longer], length[longer], seed)
+            at = np.minimum(np.searchsorted(numbers, wanted), len(numbers) - 1)
+            if not np.array_equal(numbers[at], wanted):
+                raise ValueError("a piece without a result")
             after = length.copy()
-            after[longer] = [len(m) // 4 for m in merged]
+            after[longer] = size = sizes[at]
             piece = np.repeat(longer, after)
             values = np.empty(len(piece), np.int32)
-            values[piece] = np.frombuffer(b"".join(merged), "<i4")
+            values[piece] = merged[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
             values[~piece] = symbols[first[~longer]]
             yield _shortened(values, np.bincount(word[first], after, len(batch)).astype(np.int64), batch)
     return replace
@@ -163,20 +193,35 @@ class Window:
     """Pieces as linked symbols, with the counts and the places of their pairs."""
 
     def __init__(self, pieces: list[np.ndarray], counts: list[int]):
-        self.symbol = np.concatenate(pieces).tolist() if pieces else []
-        lengths = [len(p) for p in pieces]
-        self.starts = np.r_[0, np.cumsum(lengths)][:-1].astype(int).tolist() if pieces else []
-        self.weight = np.repeat(np.array(counts, object), lengths).tolist() if pieces else []
-        self.next, self.prev = list(range(1, len(self.symbol) + 1)), list(range(-1, len(self.symbol) - 1))
-        for start, length in zip(self.starts, lengths):
-            self.prev[start] = self.next[start + length - 1] = -1
+        self._link(np.concatenate(pieces) if pieces else np.zeros(0, np.int32), np.array([len(p) for p in pieces], np.int64), np.array(counts, np.int64))
+
+    @classmethod
+    def of(cls, symbols: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> Window:
+        """From pieces end to end."""
+        window = cls.__new__(cls)
+        window._link(symbols, lengths.astype(np.int64), counts)
+        return window
+
+    def _link(self, symbols: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> None:
+        """Arrays of machine numbers, 20 bytes a symbol besides its place."""
+        size, ends = len(symbols), np.cumsum(lengths)
+        following, before = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
+        following[ends - 1] = before[ends - lengths] = -1
+        weight = np.repeat(counts.astype(np.int64), lengths)
+        self.starts = ends - lengths
+        self.symbol, self.next, self.prev = (array("i", x.astype(np.int32).tobytes()) for x in (symbols, following, before))
+        self.weight = array("q", weight.tobytes())
         self.count: dict[tuple[int, int], int] = defaultdict(int)
-        self.places: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for i, j in enumerate(self.next):
-            if j >= 0:
-                pair = self.symbol[i], self.symbol[j]
-                self.count[pair] += self.weight[i]
-                self.places[pair].append(i)
+        self.places: dict[tuple[int, int], array] = defaultdict(lambda: array("i"))
+        at = np.flatnonzero(following >= 0).astype(np.int32)
+        pair = symbols[at].astype(np.int64) << 32 | symbols[at + 1]
+        order = np.argsort(pair, kind="stable")
+        at, pair = at[order], pair[order]
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if size and len(pair) else np.zeros(0, np.int64)
+        freq = np.add.reduceat(weight[at], first).tolist() if len(first) else []
+        for p, n, a, b in zip(pair[first].tolist(), freq, first.tolist(), [*first[1:].tolist(), len(at)]):
+            self.count[p >> 32, p & 0xFFFFFFFF] = n
+            self.places[p >> 32, p & 0xFFFFFFFF] = array("i", at[a:b].tobytes())
         self.queue = [(-n, pair) for pair, n in self.count.items()]
         heapq.heapify(self.queue)
 
@@ -221,15 +266,15 @@ class Window:
             if count[made] > 0:
                 heapq.heappush(self.queue, (-count[made], made))
 
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all pieces after the merges, end to end, and how many each piece has. A merged symbol stands at its left one's place."""
+        symbols = np.frombuffer(self.symbol, np.int32)
+        stay = symbols >= 0
+        return symbols[stay], np.add.reduceat(stay, self.starts, dtype=np.int64) if len(self.starts) else np.zeros(0, np.int64)
+
     def results(self) -> list[np.ndarray]:
-        out = []
-        for i in self.starts:
-            piece = []
-            while i >= 0:
-                piece.append(self.symbol[i])
-                i = self.next[i]
-            out.append(np.array(piece, "<i4"))
-        return out
+        symbols, sizes = self.merged()
+        return np.split(symbols, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 class Vocabulary:
@@ -272,11 +317,18 @@ def merge_window(window: Window, vocabulary: Vocabulary, border: tuple[int, int,
 
 # --- training --------------------------------------------------------------------------------------------
 
-def _piece_table(words: DataFrame, active: np.ndarray, bound: int) -> list | None:
-    """Distinct pieces and their counts, or None if they have more than ``bound`` symbols."""
-    pieces = through_table(words.mapInArrow(_cut(active), "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n")), "bpe_pieces")
-    size = pieces.agg(F.coalesce(F.sum(F.octet_length("piece").cast("long")), F.lit(0))).first()[0]
-    return pieces.collect() if size <= 4 * bound else None
+def _measured(df: DataFrame, purpose: str, size: Column) -> tuple[DataFrame, int]:
+    """``df`` through a table, and the sum of ``size`` over its rows, taken as they are written."""
+    total = Observation()
+    written = through_table(df.observe(total, F.sum(size).alias("total")), purpose)
+    return written, total.get["total"] or 0
+
+
+def _piece_table(words: DataFrame, active: np.ndarray, bound: int) -> tuple[pa.Table | None, int]:
+    """Distinct pieces and their counts, or None if they have more than ``bound`` symbols, and their symbols."""
+    pieces = words.mapInArrow(_cut(active), "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    pieces, size = _measured(pieces, "bpe_pieces", F.octet_length("piece").cast("long"))
+    return pieces.toArrow() if size <= 4 * bound else None, size // 4
 
 
 def bpe_train(texts: DataFrame, merges: int | None = None, text: str = "text", vocab_size: int = dims.VOCAB_SIZE,
@@ -295,12 +347,15 @@ def bpe_train(texts: DataFrame, merges: int | None = None, text: str = "text", v
     seen = [r["byte"] for r in spelled.mapInArrow(_bytes_of, "byte int").distinct().collect()]  # <= 256
     vocabulary = Vocabulary([*dims.SPECIAL_TOKENS, *sorted(letters[b] for b in seen)], vocab_size, merges)
     ids = np.array([vocabulary.ids.get(c, -1) for c in letters], np.int32)
-    words = through_table(spelled.mapInArrow(_spell(ids), "symbols array<int>, n long"), "bpe_symbols")
-    active_pairs = 256
+    length = F.size("symbols").cast("long")
+    words, left = _measured(spelled.mapInArrow(_spell(ids), "symbols array<int>, n long"), "bpe_symbols", length)
+    active_pairs = 64
     while not vocabulary.full():
-        if words.agg(F.coalesce(F.sum(F.size("symbols").cast("long")), F.lit(0))).first()[0] <= window_symbols:
-            rows = words.collect()  # the rest fits into one window
-            merge_window(Window([np.array(r["symbols"]) for r in rows], [r["n"] for r in rows]), vocabulary, None, min_frequency)
+        if 2 * left <= window_symbols:  # here all pairs are active, each with an entry of its own
+            rows = words.toArrow().combine_chunks()  # the rest makes one window
+            lists = [c for c in rows.column("symbols").chunks] or [pa.array([], pa.list_(pa.int32()))]
+            symbols, lengths = (np.concatenate([f(c).to_numpy(zero_copy_only=False) for c in lists]) for f in (pc.list_flatten, pc.list_value_length))
+            merge_window(Window.of(symbols, lengths, rows.column("n").to_numpy()), vocabulary, None, min_frequency)
             break
         freq = words.mapInArrow(_count_pairs, "pair long, freq long").groupBy("pair").agg(F.sum("freq").alias("freq")).filter(F.col("freq") >= min_frequency)
         top = freq.orderBy(F.desc("freq"), "pair").limit(window_pairs + 1).collect()
@@ -310,8 +365,9 @@ def bpe_train(texts: DataFrame, merges: int | None = None, text: str = "text", v
         table = None
         while active_pairs > 1 and table is None:
             active = np.array(sorted(r["pair"] for r in top[:active_pairs]), np.int64)
-            table = _piece_table(words, active, window_symbols)
-            active_pairs = active_pairs // 2 if table is None else active_pairs
+            table, used = _piece_table(words, active, window_symbols)
+            if table is None:
+                active_pairs //= 4 if used > 8 * window_symbols and active_pairs > 4 else 2
         if table is None:  # one pair: its merge needs no pieces
             pair = top[0]["pair"]
             new, _ = vocabulary.learn(pair >> 32, pair & 0xFFFFFFFF)
@@ -320,13 +376,15 @@ def bpe_train(texts: DataFrame, merges: int | None = None, text: str = "text", v
         else:
             border = top[active_pairs] if active_pairs < len(top) else None
             border = (1 - min_frequency, -1, -1) if border is None else (-border["freq"], border["pair"] >> 32, border["pair"] & 0xFFFFFFFF)
-            window = Window([np.frombuffer(r["piece"], "<i4") for r in table], [r["n"] for r in table])
+            pieces = table.column("piece").to_pylist()
+            symbols, lengths = np.frombuffer(b"".join(pieces), "<i4"), np.array([len(p) // 4 for p in pieces], np.int64)
+            window = Window.of(symbols, lengths, table.column("n").to_numpy())
             merge_window(window, vocabulary, border, min_frequency)
-            results = spark.sparkContext.broadcast({bytes(r["piece"]): x.tobytes() for r, x in zip(table, window.results())})
+            results = spark.sparkContext.broadcast(_result_table(symbols, lengths, *window.merged()))
             words = words.mapInArrow(_replace(active, results), "symbols array<int>, n long")
-            used = sum(len(r["piece"]) for r in table) // 4
-            active_pairs *= 4 if used < window_symbols // 8 else 2 if used < window_symbols // 3 else 1
-        words = through_table(words, "bpe_symbols")
+            free = window_symbols // max(used, 1)
+            active_pairs *= 16 if free >= 64 else 8 if free >= 24 else 4 if free >= 8 else 2 if free >= 3 else 1
+        words, left = _measured(words, "bpe_symbols", length)
     table = spark.createDataFrame(list(enumerate(vocabulary.spelling)), "token_id int, token string")
     return vocabulary.merges, table
 
