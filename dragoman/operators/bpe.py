@@ -13,9 +13,11 @@ pairs to their places and a queue kept up to date, and the result of each piece
 from __future__ import annotations
 
 import heapq
+import re
+import uuid
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +26,16 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from dragoman import dims
 from dragoman.functions.plan import through_table
-from dragoman.operators.tokens import byte_alphabet, byte_level_tokens
+from dragoman.operators.tokens import byte_alphabet, byte_level_tokens, pretoken_patterns
 
 #: Symbols of a window's distinct pieces at most; this bounds what the driver holds.
 WINDOW_SYMBOLS = 2_000_000
 #: Active pairs of a window at most.
 WINDOW_PAIRS = 1 << 16
-#: Symbols of encoded words that a task keeps; the store is emptied beyond it.
-KEPT_SYMBOLS = 4_000_000
+#: Encoded words that a worker keeps at most, and characters of a kept word at most.
+KEPT_WORDS, KEPT_CHARS = 400_000, 40
+#: Symbols of a word up to which the next merge is searched, not queued.
+SEARCHED_SYMBOLS = 32
 
 Merge = tuple[int, int, int]  # left, right, merged
 
@@ -406,10 +410,30 @@ class Coder:
         self.unknown = vocabulary["[UNK]"]
         self.byte_ids = [vocabulary.get(c, -1) for c in byte_alphabet()]
         self.ranks = {(vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(merges)}
+        self.short = {pair: rank for pair, (rank, _) in self.ranks.items()}
+        self.made = [vocabulary[a + b] for a, b in merges]
 
     def encode(self, word: str) -> np.ndarray:
-        """A queue of the ranks of neighbours over linked symbols: n log n, however long the word is."""
         symbol = [self.byte_ids[b] for b in word.encode()]
+        symbol = self._by_search(symbol) if len(symbol) <= SEARCHED_SYMBOLS else self._by_queue(symbol)
+        return np.array([self.unknown if s == -1 else s for s in symbol], np.int32)
+
+    def _by_search(self, symbol: list[int]) -> list[int]:
+        """The least rank of all neighbours, searched anew for each merge."""
+        ranks, none = self.short, len(self.made)
+        found = [ranks.get(pair, none) for pair in zip(symbol, symbol[1:])]
+        while found and (best := min(found)) < none:
+            i = found.index(best)
+            symbol[i:i + 2] = [self.made[best]]
+            del found[i]
+            if i:
+                found[i - 1] = ranks.get((symbol[i - 1], symbol[i]), none)
+            if i < len(found):
+                found[i] = ranks.get((symbol[i], symbol[i + 1]), none)
+        return symbol
+
+    def _by_queue(self, symbol: list[int]) -> list[int]:
+        """A queue of the ranks of neighbours over linked symbols: n log n, however long the word is."""
         end = len(symbol)
         following, before, ranks = list(range(1, end + 1)), list(range(-1, end - 1)), self.ranks
         queue = []
@@ -435,45 +459,71 @@ class Coder:
                 found = ranks.get((symbol[p], new))
                 if found is not None:
                     heapq.heappush(queue, (found[0], p, symbol[p], new, found[1]))
-        return np.array([self.unknown if s == -1 else s for s in symbol if s is not None], np.int32)
+        return [s for s in symbol if s is not None]
+
+
+def _parts(cut: re.Pattern, text: str) -> list[str]:
+    """Parts of a text that hold whole pre-tokens, each without the space before it; a text that has none gets one."""
+    parts = cut.split(text)
+    if parts[0][:1] == " ":
+        parts[0] = parts[0][1:]
+    elif not parts[0]:
+        del parts[0]
+    return parts
+
+
+class Known(dict):
+    """What ``make`` gives for strings, kept for short ones; the strings not met lately go."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.before.get(key)
+        if got is None:
+            got = self.make(key)
+            if len(key) >= KEPT_CHARS:
+                return got
+        if len(self) >= KEPT_WORDS // 2:
+            self.before = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
+#: What a worker keeps of the vocabulary it used last, for the tasks that come after.
+_LAST: dict[str, Known] = {}
+
+
+def _kept_parts(key: str, shared: tuple[list[tuple[str, str]], dict[str, int]], token: re.Pattern) -> Known:
+    """Ids of parts, as bytes; the same store for every task of one ``key``."""
+    if key not in _LAST:
+        coder = Coder(*shared)
+        words = Known(lambda word: coder.encode(word).tobytes())
+        _LAST.clear()
+        _LAST[key] = Known(lambda part: b"".join([words[w] for w in token.findall(" " + part)]))
+    return _LAST[key]
 
 
 def bpe_encode(texts: DataFrame, merges: list[tuple[str, str]], vocabulary: dict[str, int],
                text: str = "text") -> DataFrame:
     """Add ``ids``: BPE token ids of each text; unknown symbols become ``[UNK]``, null texts have none.
 
-    Words are split in the JVM. A task encodes the distinct words of a batch that it does not hold yet and
-    gathers the ids of all words from them: no row per word, no shuffle, no hot word. Merges and vocabulary
-    are bounded by the vocabulary size and are broadcast.
+    A worker keeps the ids of short words, and of the parts between spaces, that it has met, from task to task: no row
+    per word, no shuffle, no hot word. Merges and vocabulary are bounded by the vocabulary size and are broadcast.
     """
     shared = texts.sparkSession.sparkContext.broadcast((merges, vocabulary))
+    patterns, key = pretoken_patterns(texts.sparkSession), uuid.uuid4().hex
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder, known, held = Coder(*shared.value), {}, 0
-        for tokens in batches:
-            distinct = tokens.flatten().dictionary_encode()
-            words = distinct.dictionary.to_pylist()
-            found = []
-            for word in words:
-                ids = known.get(word)
-                if ids is None:
-                    ids = known[word] = coder.encode(word)
-                    held += len(ids) + 16
-                found.append(ids)
-            if held > KEPT_SYMBOLS:
-                known, held = {}, 0
-            sizes = np.array([len(x) for x in found], np.int64)
-            starts, codes = np.cumsum(sizes) - sizes, distinct.indices.to_numpy(zero_copy_only=False)
-            size = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-            ends = np.cumsum(size)
-            at = np.repeat(starts[codes] - (ends - size), size) + np.arange(size.sum()) if len(codes) else np.zeros(0, np.int64)
-            values = np.concatenate(found)[at] if found else np.zeros(0, np.int32)
-            per_text = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            borders = np.r_[0, ends][np.r_[0, np.cumsum(per_text)]]
-            yield _lists(values, np.diff(borders))
-
-    return texts.withColumn("ids", encode(byte_level_tokens(F.col(text))))
+        token, cut = map(re.compile, patterns)
+        parts = _kept_parts(key, shared.value, token)
+        for batch in batches:
+            found = [b"".join([parts[p] for p in _parts(cut, t)]) if t else b"" for t in batch.to_pylist()]
+            yield _lists(np.frombuffer(b"".join(found), np.int32), np.array([len(x) // 4 for x in found], np.int64))
+
+    return texts.withColumn("ids", encode(F.col(text)))
 
 
 def bpe_decode(ids: Column, vocabulary: dict[str, int]) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from dragoman import dims
 from dragoman.functions.arrays import fixed_length
@@ -31,6 +33,20 @@ def byte_level_tokens(text: Column) -> Column:
     return F.regexp_extract_all(prefixed, F.lit(PRETOKEN), F.lit(0))
 
 
+def pretoken_patterns(spark: SparkSession) -> tuple[str, str]:
+    """``PRETOKEN`` for Python's ``re``, and the spaces before which a text may be cut without cutting a pre-token.
+
+    Java's classes are read off a string of all code points in order, so that both engines mean the same characters.
+    No pre-token goes on over a space that is followed by no other white space, nor depends on what is before it.
+    """
+    points = "".join(chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i <= 0xDFFF)
+    classes = [F.regexp_extract_all("points", F.lit(f"(?U){c}+"), F.lit(0)) for c in (r"\p{L}", r"\p{N}", r"\s")]
+    runs = spark.createDataFrame(pa.table({"points": [points]})).select(*classes).collect()[0]
+    letter, number, space = ("".join(f"{re.escape(x[0])}-{re.escape(x[-1])}" for x in found) for found in runs)
+    return (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+",
+            f" (?=[^{space}])")
+
+
 def byte_symbols(token: Column) -> Column:
     """Symbols of a pre-token: one printable character per UTF-8 byte."""
     table = F.array(*[F.lit(c) for c in byte_alphabet()])

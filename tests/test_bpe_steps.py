@@ -1,10 +1,13 @@
 """BPE at size: what a window takes, how its results are found, what a worker keeps of its words."""
 
+import random
 import tracemalloc
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from dragoman.operators import bpe
+from dragoman import dims
+from dragoman.operators import bpe, tokens
 
 
 def test_a_window_takes_few_bytes_a_symbol():
@@ -27,3 +30,36 @@ def test_pieces_of_one_number_get_another_seed(monkeypatch):
     got = {merged[a:a + n].tobytes(): h for a, n, h in zip(starts, sizes, found)}
     want = numbers(symbols, np.array([0, 2]), length, seed).tolist()
     assert got == {np.array([9], np.int32).tobytes(): want[0], np.array([3, 8], np.int32).tobytes(): want[1]}
+
+
+def test_words_are_kept_from_task_to_task():
+    pattern = bpe.re.compile(r" ?[a-z]+")
+    letters = bpe.byte_alphabet()
+    vocabulary = {t: i for i, t in enumerate([*dims.SPECIAL_TOKENS, *letters, "ab"])}
+    first = bpe._kept_parts("one", ([("a", "b")], vocabulary), pattern)
+    assert np.frombuffer(first["ab"], np.int32).tolist() == [vocabulary[letters[32]], vocabulary["ab"]]
+    assert bpe._kept_parts("one", ([("a", "b")], vocabulary), pattern) is first and "ab" in first
+    assert "x" * bpe.KEPT_CHARS not in first and first["x" * bpe.KEPT_CHARS] and "x" * bpe.KEPT_CHARS not in first
+    assert bpe._kept_parts("two", ([], vocabulary), pattern) is not first and list(bpe._LAST) == ["two"]
+
+
+def test_searched_and_queued_merges_are_equal():
+    rng = random.Random(4)
+    merges = [("a", "b"), ("b", "a"), ("ab", "ab"), ("a", "a"), ("aa", "b"), ("ab", "a"), ("abab", "b")]
+    vocabulary = {t: i for i, t in enumerate([*dims.SPECIAL_TOKENS, "a", "b", *dict.fromkeys(x + y for x, y in merges)])}
+    coder = bpe.Coder(merges, vocabulary)
+    for _ in range(500):
+        symbol = [rng.choice((vocabulary["a"], vocabulary["b"], -1)) for _ in range(rng.randrange(0, 40))]
+        assert coder._by_search(list(symbol)) == coder._by_queue(list(symbol))
+
+
+ODD = ["", " ", "  ", "a  b", "a \n b", "\n", " x", "  x y ", "a  b", "a   b", "x  y", "x  y", "\x1c a \x1d", "it's we'll 'd", "你好 été  12½ x", "a\tb\r\n c", "𝒳 𐍈𝟙 \U0001f600!", "ᥐ ༠ ࠀ"]
+
+
+def test_parts_give_the_pretokens_of_java(spark):
+    rng = random.Random(5)
+    texts = ODD + ["".join(rng.choice("ab1'! \n  é\x1c\x85s") for _ in range(30)) for _ in range(200)]
+    token, cut = map(bpe.re.compile, tokens.pretoken_patterns(spark))
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", tokens.byte_level_tokens(F.col("text")).alias("want")).collect()
+    for r in rows:
+        assert [w for p in (bpe._parts(cut, r["text"]) if r["text"] else []) for w in token.findall(" " + p)] == r["want"]
