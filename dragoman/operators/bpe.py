@@ -534,7 +534,12 @@ def bpe_decode(ids: Column, vocabulary: dict[str, int]) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = pa.array([spelled.get(i, b"") for i in range(max(spelled) + 1)], pa.large_binary())
         for batch in batches:
-            yield pa.array([b"".join([spelled[i] for i in x or ()]).decode("utf-8", "replace") for x in batch.to_pylist()], pa.string())
+            texts = table.take(batch.flatten())
+            ends = np.cumsum(np.r_[0, pc.binary_length(texts).to_numpy(zero_copy_only=False)])
+            data = memoryview(texts.buffers()[2] or b"")
+            rows = ends[np.cumsum(np.r_[0, batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)])].tolist()
+            yield pa.array([str(data[a:b], "utf-8", "replace") for a, b in zip(rows, rows[1:])], pa.string())
 
     return decode(ids)

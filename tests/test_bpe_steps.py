@@ -4,6 +4,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dragoman import dims
@@ -63,3 +64,12 @@ def test_parts_give_the_pretokens_of_java(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", tokens.byte_level_tokens(F.col("text")).alias("want")).collect()
     for r in rows:
         assert [w for p in (bpe._parts(cut, r["text"]) if r["text"] else []) for w in token.findall(" " + p)] == r["want"]
+
+
+@pytest.mark.parametrize("bad", [[250], []])
+def test_decoding_of_odd_ids(spark, bad):
+    known = {t: i for i, t in enumerate([*dims.SPECIAL_TOKENS, *bpe.byte_alphabet()])}
+    ids = [[5 + b for b in " né".encode()], [0, 5 + 0xC3, 5 + 65, 1], [], None, [5 + b for b in bad]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i int, ids array<int>").coalesce(1)
+    got = [r["t"] for r in df.select("i", bpe.bpe_decode(F.col("ids"), known).alias("t")).orderBy("i").collect()]
+    assert got == [" né", "�A", "", "", bytes(bad).decode("utf-8", "replace")]
