@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable, Hashable
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dragoman.functions.plan import through_table
@@ -30,4 +35,27 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-__all__ = ["BATCH_BYTES", "bound_batches", "col", "fresh", "table", "through_table"]
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns for a key, kept by a Python worker from task to task.
+
+    Workers outlive a job and serve one operator after another, so a worker keeps the result for one key only:
+    another key lets the last one go first.
+    """
+    if key not in _KEPT:
+        let_go()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Frees what the worker keeps."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()  # what is kept may refer to itself
+        pa.default_memory_pool().release_unused()
+
+
+__all__ = ["BATCH_BYTES", "bound_batches", "col", "fresh", "kept", "let_go", "table", "through_table"]

@@ -19,6 +19,8 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import Column, SparkSession, functions as F
 
+from dragoman.llm.common import kept
+
 SPACE = "▁"
 #: Words, and pairs of tokens, whose result a worker keeps at most. Words not seen while half of them came are let go;
 #: pairs are filled anew beyond it.
@@ -26,6 +28,9 @@ KEPT_WORDS, KEPT_PAIRS = 400_000, 500_000
 #: Characters of a kept word at most, so that what a worker keeps is bounded in bytes for unspaced text too.
 KEPT_CHARS = 40
 
+#: Characters of the texts whose ids and decoded texts a worker hands on at once, or one text.
+PART_CHARS = 1 << 20
+
 #: Ids as little-endian unsigned 32-bit integers, by their number.
 _U4 = [struct.Struct(f"<{n}I") for n in range(KEPT_CHARS)]
 
@@ -176,15 +181,22 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
-_CODERS: dict[bytes, Pieces] = {}
-
-
 def coder_of(model: bytes) -> Pieces:
     """The coder of a model; a worker keeps one, and its words and pairs, from task to task."""
-    if model not in _CODERS:
-        _CODERS.clear()
-        _CODERS[model] = Pieces(model)
-    return _CODERS[model]
+    return kept(("pieces", model), lambda: Pieces(model))
+
+
+def _parts(texts: pd.Series) -> Iterator[list[str | None]]:
+    """The texts in order, as many at once as PART_CHARS characters hold, or one."""
+    part, held = [], 0
+    for text in texts:
+        if part and held + len(text or "") > PART_CHARS:
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += len(text or "")
+    if part or not len(texts):
+        yield part
 
 
 def round_trip(spark: SparkSession, text: Column, model_path: str) -> Column:
@@ -200,6 +212,7 @@ def round_trip(spark: SparkSession, text: Column, model_path: str) -> Column:
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = coder_of(model.value)
         for texts in batches:
-            ids = [coder.encode(t) for t in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(x) for x in ids]})
+            for part in _parts(texts):  # results are several times a batch
+                ids = [coder.encode(t) for t in part]
+                yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(x) for x in ids]})
     return pieces(text)

@@ -17,28 +17,34 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from dragoman.llm.common import bound_batches, col
+from dragoman.llm.common import bound_batches, col, kept, let_go
 
 ORDER = 4
 #: Training texts per language, about: the bound on the sample that the trees are fitted on.
 ROWS_PER_LANGUAGE = 300
 MAX_LANGUAGES = 1000
-#: Bytes scored by one call; longer texts are scored in parts that share their context.
+#: Bytes of a block; longer texts make parts that share their context.
 BLOCK_BYTES = 1 << 20
+#: Texts are scored together up to so many bytes, and so many of their grams are looked up at once.
+SCORED_BYTES, PART_GRAMS = 1 << 19, 1 << 16
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
 def grams(block: np.ndarray, order: int) -> np.ndarray:
     """For every byte the number made of its ``order`` bytes of context and itself; block holds uint8."""
-    out = np.zeros(len(block), np.int64)
+    out = np.zeros(len(block), "<i8")
+    places = out.view(np.uint8).reshape(len(block), 8)
     for k in range(order + 1):
-        out[k:] |= block[:len(block) - k].astype(np.int64) << (8 * k)
+        places[k:, k] = block[:len(block) - k]
     return out
 
 
-def blocks(texts: list[str | None], order: int, size: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(gram of every byte, number of its text), a block at a time; a text starts after ``order`` line feeds."""
+def blocks(texts: list[str | None], order: int, size: int = BLOCK_BYTES, enough: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(gram of every byte, number of its text), a block at a time; a text starts after ``order`` line feeds.
+
+    Texts are cut at ``size`` bytes; a block ends with the part that fills ``size`` or ``enough`` bytes.
+    """
     parts, owner, held = [], [], 0
     for k, text in enumerate(texts):
         data = b"\n" * order + (text or "").encode("utf-8")
@@ -47,7 +53,7 @@ def blocks(texts: list[str | None], order: int, size: int = BLOCK_BYTES) -> Iter
             parts.append(part)
             owner.append((k, len(part)))
             held += len(part)
-            if held >= size:
+            if held >= min(size, enough):
                 yield _block(parts, owner, order)
                 parts, owner, held = [], [], 0
     if parts:
@@ -57,9 +63,10 @@ def blocks(texts: list[str | None], order: int, size: int = BLOCK_BYTES) -> Iter
 def _block(parts: list[bytes], owner: list[tuple[int, int]], order: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([n for _, n in owner])
     keys = grams(np.frombuffer(b"".join(parts), np.uint8), order)
-    offset = np.arange(len(keys)) - np.repeat(np.r_[0, np.cumsum(lengths)[:-1]], lengths)
-    real = offset >= order
-    return keys[real], np.repeat(np.array([k for k, _ in owner]), lengths)[real]
+    real = np.ones(len(keys), bool)
+    for k in range(order):
+        real[np.cumsum(lengths) - lengths + k] = False
+    return keys[real], np.repeat(np.array([k for k, _ in owner], np.int32), lengths - order)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -111,9 +118,9 @@ class Tree:
         return bits
 
 
-@dataclass
+@dataclass(eq=False)
 class Model:
-    """Frozen statistics: languages, and the distinct grams of each with counts."""
+    """Frozen statistics: languages, and the distinct grams of each with counts. Models are equal if they are the same object."""
 
     order: int
     languages: list[str]
@@ -144,6 +151,13 @@ class Scorer:
         return table, rows[table[slots] != rows]
 
     def _rows(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the grams, -1 where unseen; hashed a part at a time, as hashes take several times the memory of a block."""
+        at = np.empty(len(keys), np.int64)
+        for start in range(0, len(keys), PART_GRAMS):
+            at[start:start + PART_GRAMS] = self._part_rows(keys[start:start + PART_GRAMS])
+        return at
+
+    def _part_rows(self, keys: np.ndarray) -> np.ndarray:
         at = self.first[self._slot(keys, 0)].astype(np.int64)
         left = np.flatnonzero(self.keys[at] != keys)
         again = self.second[self._slot(keys[left], 1)]
@@ -155,7 +169,7 @@ class Scorer:
     def code_lengths(self, texts: list[str | None]) -> np.ndarray:
         """Bits of each text under each language: texts x languages."""
         out = np.zeros((len(texts), len(self.languages)))
-        for keys, owner in blocks(texts, self.order):
+        for keys, owner in blocks(texts, self.order, enough=SCORED_BYTES):
             at = self._rows(keys)
             missed = np.flatnonzero(at < 0)
             unseen, which = np.unique(keys[missed], return_inverse=True)
@@ -167,6 +181,11 @@ class Scorer:
         return out
 
 
+def scorer_of(model: Model) -> Scorer:
+    """The scorer of a model; a worker keeps it from task to task, and nothing else meanwhile."""
+    return kept(("ppm", model), lambda: Scorer(model))
+
+
 def train(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None,
           order: int = ORDER, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """Fit the trees on about ``rows_per_language`` rows of each language, chosen by a hash of ``key``.
@@ -190,6 +209,7 @@ def train(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col
     sample = rows.join(limits, "lang").filter("draw < below").select("language", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             language = batch.column(0).to_numpy(zero_copy_only=False)
             texts = np.array(batch.column(1).to_pylist(), object)
@@ -216,7 +236,7 @@ def identify(spark: SparkSession, text: Column, model: Model) -> Column:
 
     @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
     def ppm(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(frozen.value) if frozen.value.languages else None
+        scorer = scorer_of(frozen.value) if frozen.value.languages else None
         for texts in batches:
             lettered = [t if t is not None and LETTER.search(t) else None for t in texts]
             if scorer is None or not len(texts):
